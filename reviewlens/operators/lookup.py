@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 # A key is hot when it owns more than 1/HOT_SLOTS of all rows, so there are
@@ -14,7 +16,7 @@ _SALT, _SALTS = "_salt", "_salts"
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     rows_per_key: str,
     salt_on: str,
     slots: int = HOT_SLOTS,
@@ -29,18 +31,20 @@ def lookup_join(
     allows. ``rows_per_key`` is not part of the result.
     """
     # The same filter in every use of the lookup lets its exchange be reused.
-    lookup = lookup.where(F.col(key).isNotNull())
+    keys = [key] if isinstance(key, str) else list(key)
+    for name in keys:
+        lookup = lookup.where(F.col(name).isNotNull())
     total = lookup.agg(F.sum(rows_per_key)).scalar()
     share = F.ceil(F.col(rows_per_key) * slots / total)
     sized = lookup.withColumn(_SALTS, F.greatest(F.lit(1), share.cast("int")))
-    hot = sized.where(F.col(_SALTS) > 1).select(key, _SALTS)
+    hot = sized.where(F.col(_SALTS) > 1).select(*keys, _SALTS)
     salt = F.pmod(F.xxhash64(salt_on), F.col(_SALTS))
     salted_rows = (
-        rows.join(F.broadcast(hot), key, "left")
+        rows.join(F.broadcast(hot), keys, "left")
         .withColumn(_SALT, F.coalesce(salt, F.lit(0)).cast("int"))
         .drop(_SALTS)
     )
     salted_lookup = sized.withColumn(
         _SALT, F.explode(F.sequence(F.lit(0), F.col(_SALTS) - 1))
     ).drop(_SALTS, rows_per_key)
-    return salted_rows.join(salted_lookup, [key, _SALT], "inner").drop(_SALT)
+    return salted_rows.join(salted_lookup, [*keys, _SALT], "inner").drop(_SALT)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark import keyword_only
@@ -32,46 +33,33 @@ def normalize_text(
     """Add ``out``: marks stripped, tokens replaced by lemmas, filtered, lowered.
 
     Without ``lemmas`` (surface, lemma) this is one projection. A lemma table of
-    at most ``max_inline`` rows, counted here, is looked up inside the
-    projection as well; a larger one is joined token by token, which needs
+    at most ``max_inline`` rows, read here, is looked up inside the projection as
+    well; a larger one is joined token by token, which needs
     ``row_id`` to be unique.
     """
     stop = list(stop)
     if lemmas is None:
         return df.withColumn(out, normalized(text, stop))
-    lemmas = lemmas.groupBy("surface").agg(F.min("lemma").alias("lemma"))
-    size = lemmas.limit(max_inline + 1).count()
-    if size <= max_inline:
-        return _with_inline_lemmas(df, text, out, lemmas, size, stop)
+    known = lemmas.where("surface is not null and lemma is not null")
+    lemmas = known.groupBy("surface").agg(F.min("lemma").alias("lemma"))
+    hashed = lemmas.select("surface", "lemma", F.xxhash64("surface").alias("hash"))
+    entries = hashed.limit(max_inline + 1).collect()
+    if len(entries) <= max_inline:
+        return _with_inline_lemmas(df, text, out, entries, stop)
     return _with_joined_lemmas(df, text, row_id, out, lemmas, stop)
 
 
-def _with_inline_lemmas(df, text, out, lemmas, size, stop):
-    """Hash-bucketed lemma maps as one scalar value; the text is not shuffled."""
-    buckets = max(1, size // _LEMMAS_PER_BUCKET)
-
-    def bucket(word: Column) -> Column:
-        return F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")
-
-    entries = F.collect_list(F.struct("surface", "lemma")).alias("entries")
-    filled = lemmas.groupBy(bucket(F.col("surface")).alias("bucket")).agg(entries)
-    every = df.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-    ordered = F.array_sort(F.collect_list(F.struct("bucket", "entries")))
-    empty = F.map_from_arrays(*[F.array().cast("array<string>")] * 2)
-    table = (
-        every.join(filled, "bucket", "left")
-        .agg(ordered.alias("slots"))
-        .select(
-            F.transform(
-                "slots",
-                lambda slot: F.coalesce(F.map_from_entries(slot["entries"]), empty),
-            )
-        )
-        .scalar()
-    )
+def _with_inline_lemmas(df, text, out, entries, stop):
+    """Hash-bucketed lemma maps as one folded literal; the text is not shuffled."""
+    buckets = max(1, len(entries) // _LEMMAS_PER_BUCKET)
+    maps: list[dict[str, str]] = [{} for _ in range(buckets)]
+    for entry in entries:
+        maps[entry["hash"] % buckets][entry["surface"]] = entry["lemma"]
+    table = F.from_json(F.lit(json.dumps(maps)), "array<map<string,string>>")
 
     def lemma(token: Column) -> Column:
-        return F.coalesce(F.try_element_at(F.get(table, bucket(token)), token), token)
+        bucket = F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
+        return F.coalesce(F.try_element_at(F.get(table, bucket), token), token)
 
     replaced = F.transform(surface_tokens(text), lemma)
     return df.withColumn(out, F.array_join(kept_tokens(replaced, stop), " "))

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlens.operators.indexing import running_start
+from reviewlens.operators.lookup import lookup_join
 from reviewlens.schema import EXPECTED_FILES
 from reviewlens.sources.staging import stage
 
@@ -40,8 +41,9 @@ def read_line_corpus(
         F.count("*").alias("_lines"), F.min(_LINE).alias("_first")
     )
     starts = running_start(pieces, [_FILE, _BLOCK], "_lines", "_start")
+    placed = lookup_join(tagged, starts, [_FILE, _BLOCK], "_lines", _LINE)
     number = F.col("_start") + F.col(_LINE) - F.col("_first")
-    return tagged.join(starts, [_FILE, _BLOCK]).select(
+    return placed.select(
         F.concat(F.lit(prefix), number.cast("string")).alias("id"),
         "value",
         F.lit(label).alias("label"),
@@ -54,7 +56,10 @@ def union_corpora(deceptive: DataFrame, truthful: DataFrame) -> DataFrame:
 
 
 def class_files(spark: SparkSession, root: str) -> DataFrame:
-    """(class, file): files of ``<root>/<class>/``; contents are not read."""
+    """(class, file): files of ``<root>/<class>/``; contents are not read.
+
+    An empty file is no part of any scan and hence not listed.
+    """
     files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/*")
     return files.select(
         F.element_at(F.split("path", "/"), -2).alias("class"),

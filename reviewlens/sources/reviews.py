@@ -14,6 +14,9 @@ _CSV_FORMAT = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+# What a bare empty field is read as before it becomes null. It must differ from
+# the empty text, which stands in the file as a quoted empty field.
+_BARE_EMPTY = "\u0000"
 
 
 def read_labeled_reviews(
@@ -27,7 +30,7 @@ def read_labeled_reviews(
     """
     return (
         spark.read.schema(REVIEW_SCHEMA)
-        .options(**_CSV_FORMAT, multiLine=multi_line)
+        .options(**_CSV_FORMAT, multiLine=multi_line, nullValue=_BARE_EMPTY)
         .csv(f"{root.rstrip('/')}/{dataset}/*.csv")
     )
 
