@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlens.functions.dates import epoch_seconds
+from reviewlens.functions.text import surface_tokens
 from reviewlens.sources.corpus import read_line_corpus
 from reviewlens.sources.staging import new_path
 
@@ -101,7 +102,7 @@ def corpora(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def lemma_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(surface, lemma): words of the documents that end in s, without that s."""
     words = documents(spark, sf_dir).select(
-        F.explode(F.split(F.regexp_replace("text", "[,.!?:;]", ""), "[ \t\n\x0B\f\r]+")).alias("surface")
+        F.explode(surface_tokens("text")).alias("surface")
     )
     plural = words.where(F.col("surface").endswith("s") & (F.length("surface") > 4))
     return plural.distinct().select(

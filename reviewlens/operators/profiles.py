@@ -66,12 +66,26 @@ def user_star_profile(
 
 
 def full_outer_merge(frames: Sequence[DataFrame], key: str) -> DataFrame:
-    """Full outer join of frames on ``key``; absent numbers become 0.
+    """Full outer merge of frames with one row per ``key``; absent numbers become 0.
 
-    Each frame holds one row per key, so no key multiplies rows. For counts of
-    one table use `star_profile`, which needs one exchange instead of many.
+    With one row per key, stacking the frames and grouping by key gives what a
+    chain of full outer joins gives, in one exchange instead of two per join.
+    Rows without key drop out. A frame that holds a key twice is an error.
     """
-    return reduce(lambda a, b: a.join(b, key, "fullouter"), frames).na.fill(0)
+    columns = [(i, c) for i, f in enumerate(frames) for c in f.columns if c != key]
+    stacked = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [
+            f.where(F.col(key).isNotNull()).withColumn(f"_row{i}", F.lit(1))
+            for i, f in enumerate(frames)
+        ],
+    )
+    merged = stacked.groupBy(key).agg(
+        *[F.any_value(c, True).alias(c) for _, c in columns],
+        F.greatest(*[F.count(f"_row{i}") for i in range(len(frames))], F.lit(0)).alias("_most"),
+    )
+    twice = F.assert_true(F.col("_most") <= 1, F.lit("a frame holds a key twice"))
+    return merged.where(twice.isNull()).drop("_most").na.fill(0)
 
 
 def user_review_rate(

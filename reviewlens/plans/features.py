@@ -143,13 +143,27 @@ class ModelFrame:
         return self.rows.where("part = 1")
 
 
+def check_unique(df: DataFrame, key: str) -> None:
+    """Fail unless ``key`` is present in every row and never repeated."""
+    repeated = df.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        raise ValueError(f"{key} must be unique")
+    if not df.where(F.col(key).isNull()).isEmpty():
+        raise ValueError(f"{key} must not be null")
+
+
 def weighted_frame(
-    counts: DataFrame, key: str, dataset: str, fit_on: str = "all", folds: int = FOLDS
+    counts: DataFrame,
+    key: str,
+    dataset: str,
+    fit_on: str = "all",
+    folds: int = FOLDS,
+    split_seed: str | None = None,
 ) -> ModelFrame:
     """Weight staged hashed counts by inverse document frequency.
 
     The weighting is fitted on all rows, or with ``fit_on="train"`` on the
-    training part only. Part and fold depend on the key alone.
+    training part only. Part and fold depend on key and seed alone.
     """
     if fit_on not in ("all", "train"):
         raise ValueError("fit_on must be 'all' or 'train'")
@@ -157,7 +171,7 @@ def weighted_frame(
         key,
         F.col("label").cast("double").alias("label"),
         "rawFeatures",
-        split_part(key, SPLIT_WEIGHTS).alias("part"),
+        split_part(key, SPLIT_WEIGHTS, split_seed).alias("part"),
         fold_number(key, folds).alias("fold"),
     )
     fitted = rows if fit_on == "all" else rows.where("part = 0")
@@ -166,13 +180,19 @@ def weighted_frame(
 
 
 def model_frames(
-    reviews: DataFrame, fit_on: str = "all", folds: int = FOLDS, **options
+    reviews: DataFrame,
+    fit_on: str = "all",
+    folds: int = FOLDS,
+    independent_splits: bool = False,
+    **options,
 ) -> list[ModelFrame]:
     """The text-only and the text-and-features frame of labelled reviews.
 
     Normalised text, joins and hashing are computed once and written to the
-    shared folder as sparse counts; fits and evaluations read those.
+    shared folder as sparse counts; fits and evaluations read those. Both frames
+    have the same test rows unless ``independent_splits`` is set.
     """
+    check_unique(reviews, "reviewID")
     frames = text_frames(reviews, **options)
     both = frames.select(
         "reviewID", "label", "text",
@@ -184,6 +204,7 @@ def model_frames(
         weighted_frame(
             staged.select("reviewID", "label", F.col(column).alias("rawFeatures")),
             "reviewID", dataset, fit_on, folds,
+            dataset if independent_splits else None,
         )
         for dataset, column in (("text_only", "_text"), ("text_features", "_all"))
     ]

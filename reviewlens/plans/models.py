@@ -50,7 +50,7 @@ GRIDS: dict[str, dict[str, list]] = {
 
 
 @contextmanager
-def _kept(df: DataFrame):
+def kept(df: DataFrame):
     """Keep rows at hand while a fit iterates over them."""
     df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -73,7 +73,7 @@ def param_grid(estimator: Estimator, values: dict[str, list]) -> list[dict]:
     return builder.build()
 
 
-def _report(df: DataFrame, model: str, variant: str, dataset: str) -> DataFrame:
+def report_rows(df: DataFrame, model: str, variant: str, dataset: str) -> DataFrame:
     return df.select(
         F.lit(model).alias("model"),
         F.lit(variant).alias("variant"),
@@ -109,7 +109,7 @@ def train_and_evaluate(
         raise ValueError("align must be None or 'majority'")
     reports = []
     for frame in frames:
-        with _kept(frame.train.select("label", "features")) as train:
+        with kept(frame.train.select("label", "features")) as train:
             check_classes(train)
             model = LEARNERS[name]().fit(train)
         predicted = predict(model, frame.test)
@@ -117,11 +117,11 @@ def train_and_evaluate(
             cost = wssse(
                 frame.train, model.clusterCenters(), vector_to_array("features")
             ).select(F.lit("wssse").alias("metric"), F.col("wssse").alias("value"))
-            reports.append(_report(cost, name, "plain", frame.dataset))
+            reports.append(report_rows(cost, name, "plain", frame.dataset))
             if align:
                 predicted = _aligned(model, frame.train, predicted)
         metrics = classification_metrics(predicted)
-        reports.append(_report(metrics, name, "plain", frame.dataset))
+        reports.append(report_rows(metrics, name, "plain", frame.dataset))
     return metrics_report(reports)
 
 
@@ -179,11 +179,11 @@ def cross_validate(
             parallelism=parallelism,
             seed=SEED,
         )
-        with _kept(frame.train.select("label", "features", "fold")) as train:
+        with kept(frame.train.select("label", "features", "fold")) as train:
             check_classes(train)
             model = search.fit(train).bestModel.stages[0]
         metrics = classification_metrics(predict(model, frame.test))
-        reports.append(_report(metrics, name, "cv", frame.dataset))
+        reports.append(report_rows(metrics, name, "cv", frame.dataset))
     return metrics_report(reports)
 
 

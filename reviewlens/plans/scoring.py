@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from reviewlens.operators.metrics import classification_metrics
 from reviewlens.operators.normalize import TextNormalizer
 from reviewlens.plans.features import corpus_frame
-from reviewlens.plans.models import LEARNERS, _kept, _report, check_classes, predict
+from reviewlens.plans.models import LEARNERS, check_classes, kept, predict, report_rows
 from reviewlens.schema import HASH_FEATURES, STOP_WORDS
 
 
@@ -24,7 +24,7 @@ def train_corpus_model(
     needs nothing but the saved folder and a text column ``value``.
     """
     frame = corpus_frame(corpus, stop=stop)
-    with _kept(frame.train.select("label", "features")) as train:
+    with kept(frame.train.select("label", "features")) as train:
         check_classes(train)
         classifier = LEARNERS[learner]().fit(train)
     metrics = classification_metrics(predict(classifier, frame.test))
@@ -35,7 +35,7 @@ def train_corpus_model(
         frame.idf,
         classifier,
     ]
-    return PipelineModel(stages), _report(metrics, learner, "plain", frame.dataset)
+    return PipelineModel(stages), report_rows(metrics, learner, "plain", frame.dataset)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -76,6 +76,19 @@ def test_weighting_fitted_on_train_only(spark, sf, lines):
         features.corpus_frame(lines, fit_on="test")
 
 
+def test_repeated_or_missing_review_ids_are_refused(spark, sf):
+    reviews = fx.reviews(spark, sf)
+    with pytest.raises(ValueError, match="unique"):
+        features.model_frames(reviews.unionByName(reviews.limit(1)))
+    with pytest.raises(ValueError, match="null"):
+        features.check_unique(spark.createDataFrame([(None,), (1,)], "k int"), "k")
+
+
+def test_independent_splits_differ(spark, sf):
+    a, b = features.model_frames(fx.reviews(spark, sf), independent_splits=True)
+    assert rows(a.test.select("reviewID")) != rows(b.test.select("reviewID"))
+
+
 def values(report):
     return {(r["dataset"], r["metric"]): r["value"] for r in report.collect()}
 

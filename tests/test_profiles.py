@@ -1,5 +1,7 @@
 """Rating profiles, posting rates and their attachment."""
 
+from functools import reduce
+
 import pytest
 from pyspark.sql import Window, functions as F
 
@@ -41,8 +43,11 @@ def test_one_pass_profile_equals_full_outer_chain(spark, sf):
         for k in STAR_WEIGHTS
     ]
     total = lines.groupBy("l_partkey").agg(F.count("*").alias("total"))
+    joined = reduce(lambda a, b: a.join(b, "l_partkey", "fullouter"), [*counts, total]).na.fill(0)
     merged = profiles.full_outer_merge([*counts, total], "l_partkey")
-    chain = merged.select(
+    assert rows(merged) == rows(joined)
+    assert "Join" not in plan_of(merged)
+    chain = joined.select(
         "l_partkey",
         *[F.pow(f"n{k}", 2) / F.col("total") * w for k, w in STAR_WEIGHTS.items()],
     )
@@ -60,6 +65,12 @@ def test_full_outer_merge_fills_absent_numbers(spark):
     assert got == [("x", 1, 0, 0), ("y", 0, 2, 0), ("z", 0, 0, 3)]
 
 
+def test_full_outer_merge_refuses_a_repeated_key(spark):
+    a = spark.createDataFrame([("x", 1), ("x", 2), (None, 3)], "k string, a int")
+    with pytest.raises(Exception, match="holds a key twice"):
+        profiles.full_outer_merge([a], "k").collect()
+
+
 @pytest.mark.parametrize(
     "seconds, days, rate",
     [
