@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # A key is hot when it owns more than 1/HOT_SLOTS of all rows, so there are
 # fewer than HOT_SLOTS hot keys whatever the data size.
 HOT_SLOTS = 1000
 
-_SALT, _SALTS = "_salt", "_salts"
+_SALT, _HOT, _COLD = "_salt", "_hot_values", "_cold_values"
 
 
 def lookup_join(
@@ -20,31 +20,47 @@ def lookup_join(
     rows_per_key: str,
     salt_on: str,
     slots: int = HOT_SLOTS,
+    total: Column | None = None,
 ) -> DataFrame:
-    """Inner join ``rows`` to ``lookup`` (one row per ``key``) with hot keys salted.
-
-    ``lookup[rows_per_key]`` tells how many rows carry the key. A key owning the
-    share s of all rows is spread over ceil(s * slots) salts, taken from a hash
-    of ``salt_on`` and hence stable under retries. Only the list of hot keys,
-    at most ``slots`` rows, is broadcast by hint; how to join the lookup itself
-    is left to the optimizer, which broadcasts it only when its measured size
-    allows. ``rows_per_key`` is not part of the result.
+    """Inner join ``rows`` to ``lookup`` (one row per ``key``) with hot keys apart.
+
+    ``lookup[rows_per_key]`` tells how many of ``total`` rows carry the key; by
+    default ``total`` is the sum over the lookup. A frequent key must not be
+    missing there. Pass ``total`` when the lookup has
+    many columns, so that the lookup is not aggregated once more for the sum.
+
+    Hot keys, fewer than ``slots``, are broadcast by hint. Their rows then only
+    pass through the second join, spread by a hash of ``salt_on``, which is the
+    same when a task is retried. All other rows meet the lookup by key; how is
+    left to the optimizer, which broadcasts the lookup only when its measured
+    size allows. ``rows_per_key`` is not part of the result.
     """
-    # The same filter in every use of the lookup lets its exchange be reused.
     keys = [key] if isinstance(key, str) else list(key)
+    # Rows without key match nothing and would meet in one task. The same filter
+    # in every use of the lookup lets its exchange be reused.
     for name in keys:
+        rows = rows.where(F.col(name).isNotNull())
         lookup = lookup.where(F.col(name).isNotNull())
-    total = lookup.agg(F.sum(rows_per_key)).scalar()
-    share = F.ceil(F.col(rows_per_key) * slots / total)
-    sized = lookup.withColumn(_SALTS, F.greatest(F.lit(1), share.cast("int")))
-    hot = sized.where(F.col(_SALTS) > 1).select(*keys, _SALTS)
-    salt = F.pmod(F.xxhash64(salt_on), F.col(_SALTS))
-    salted_rows = (
+    if total is None:
+        total = lookup.agg(F.sum(rows_per_key)).scalar()
+    is_hot = F.col(rows_per_key) * slots > total
+    names = [c for c in lookup.columns if c not in keys and c != rows_per_key]
+    values = F.struct(F.col(rows_per_key), *names)
+    hot = lookup.where(is_hot).select(*keys, values.alias(_HOT))
+    # -1 in all rows, but not as a constant: a constant would be folded into a
+    # condition, and the rows would be partitioned by key without the salt.
+    cold_salt = F.least(F.col(rows_per_key), F.lit(-1)).cast("int")
+    cold = lookup.where(~F.coalesce(is_hot, F.lit(False))).select(
+        *keys, cold_salt.alias(_SALT), values.alias(_COLD)
+    )
+    spread = F.pmod(F.xxhash64(salt_on), F.lit(slots)).cast("int")
+    salt = F.when(F.col(_HOT).isNotNull(), spread).otherwise(-1)
+    found = F.coalesce(_HOT, _COLD)
+    return (
         rows.join(F.broadcast(hot), keys, "left")
-        .withColumn(_SALT, F.coalesce(salt, F.lit(0)).cast("int"))
-        .drop(_SALTS)
+        .withColumn(_SALT, salt)
+        .join(cold, [*keys, _SALT], "left")
+        .withColumn(_HOT, found)
+        .where(F.col(_HOT).isNotNull())
+        .select(*rows.columns, *[F.col(_HOT)[name].alias(name) for name in names])
     )
-    salted_lookup = sized.withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0), F.col(_SALTS) - 1))
-    ).drop(_SALTS, rows_per_key)
-    return salted_rows.join(salted_lookup, [*keys, _SALT], "inner").drop(_SALT)

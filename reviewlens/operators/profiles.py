@@ -153,8 +153,7 @@ def attach_profiles(
     """Reviews with both profiles; rows without product or reviewer drop out."""
     products = _star_profile(df, product, rating, product, PRODUCT_STARS)
     users = _star_profile(df, user, rating, user, USER_STARS)
-    with_products = lookup_join(df, products, product, _TOTAL, row_id)
-    joined = lookup_join(with_products, users, user, _TOTAL, row_id)
+    joined = _with_lookups(df, df, products, product, users, user, row_id)
     if set(JOINED_REVIEW_COLUMNS + ["label"]) <= set(df.columns):
         return joined.select(
             *JOINED_REVIEW_COLUMNS, *PRODUCT_STARS, *USER_STARS, "label"
@@ -174,5 +173,15 @@ def attach_for_features(
     """``narrow`` rows of ``df`` with both profiles and the reviewer's rate."""
     products = _star_profile(df, product, rating, product, PRODUCT_STARS)
     users = user_profile_and_rate(df, user, rating, seconds, product)
-    with_products = lookup_join(narrow, products, product, _TOTAL, row_id)
-    return lookup_join(with_products, users, user, _TOTAL, row_id)
+    return _with_lookups(df, narrow, products, product, users, user, row_id)
+
+
+def _with_lookups(df, rows, products, product, users, user, row_id):
+    """``rows`` of ``df`` joined to the products and to the users."""
+    keyed = df.agg(F.count(product).alias("products"), F.count(user).alias("users"))
+    with_products = lookup_join(
+        rows, products, product, _TOTAL, row_id, total=keyed.select("products").scalar()
+    )
+    return lookup_join(
+        with_products, users, user, _TOTAL, row_id, total=keyed.select("users").scalar()
+    )

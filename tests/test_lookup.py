@@ -1,5 +1,7 @@
 """The lookup join under skew."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from conftest import plan_of, rows
@@ -24,10 +26,22 @@ def test_same_rows_as_a_plain_join(spark):
         spark.createDataFrame([(-1, None)], "id long, key string")
     )
     lookup = lookup_of(facts)
-    plain = facts.join(lookup.drop("n"), "key")
+    plain = facts.join(lookup.drop("n"), "key").select("id", "key", "top")
     assert rows(lookup_join(facts, lookup, "key", "n", "id")) == rows(plain)
     few = lookup_join(facts, lookup, "key", "n", "id", slots=3)
     assert rows(few) == rows(plain)
+    all_hot = lookup_join(facts, lookup, "key", "n", "id", slots=10**6)
+    assert rows(all_hot) == rows(plain)
+    given = lookup_join(facts, lookup, "key", "n", "id", total=F.lit(20000))
+    assert rows(given) == rows(plain)
+    assert given.columns == ["id", "key", "top"]
+
+
+def test_many_rows_without_key(spark):
+    facts = skewed(spark)
+    many = facts.withColumn("key", F.when(F.col("id") % 3 != 0, F.col("key")))
+    joined = lookup_join(many, lookup_of(many), "key", "n", "id")
+    assert joined.count() == many.where("key is not null").count()
 
 
 def test_keys_absent_from_the_lookup_drop_out(spark):
@@ -73,6 +87,20 @@ def test_hot_key_is_spread_over_tasks(spark, shuffled):
             spark.conf.set(k, v)
 
 
+def test_salt_stays_a_partitioning_key(spark):
+    """The optimizer must not fold the salt of the lookup side into a constant."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        facts = skewed(spark)
+        plan = lookup_join(facts, lookup_of(facts), "key", "n", "id")
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search(r"SortMergeJoin \[key#\d+, _salt#\d+\], \[key#\d+, _salt#\d+\], LeftOuter", text)
+    assert len(re.findall(r"Exchange hashpartitioning\(key#\d+, _salt#\d+", text)) == 2
+
+
 def test_only_the_hot_list_is_broadcast_by_hint(spark):
     facts = skewed(spark)
     lookup = lookup_of(facts)
