@@ -14,24 +14,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows of a table with fewer files than cores, shared out over the cores.
+def spread(df: DataFrame, scan: DataFrame, key: str) -> DataFrame:
+    """``df`` shared out over the cores if ``scan`` has fewer pieces than cores.
 
     The driver writes each table as one row group, which one task would read
-    and process alone. Tables of many files stay as they are.
+    and process alone. Tables large enough to occupy all cores stay as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    docs = table(spark, sf_dir, "documents")
+    return spread(docs, docs, "doc_id")
 
 
 def labeled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels")
-    return spread(docs.join(labels, "doc_id"), "doc_id")
+    return spread(docs.join(labels, "doc_id"), docs, "doc_id")
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,8 @@ from reviewlens.schema import MIN_TOKEN_LENGTH, PUNCTUATION, STOP_WORDS
 
 # The JVM's `\s`, spelled out because engines differ on the vertical tab.
 WHITESPACE = r"[ \t\n\x0B\f\r]"
+# Characters that count as two where text is measured in 16-bit units.
+_TWO_UNITS = r"[\x{10000}-\x{10FFFF}]"
 
 
 def _col(column: Column | str) -> Column:
@@ -38,14 +40,17 @@ def capital_ratio(text: Column | str) -> Column:
     """Share of non-space characters equal to their own upper case, 2 decimals.
 
     Digits, symbols and caseless letters count as capitals; a text without
-    non-space characters has ratio 1. ASCII is counted by removing runs, so
-    only the remaining characters are compared one by one.
+    non-space characters has ratio 1. A character of two 16-bit units counts as
+    two capitals, since its halves have no case. ASCII is counted by removing
+    runs, so only the remaining characters are compared one by one.
     """
     text = _col(text)
-    total = F.length(F.replace(text, F.lit(" "), F.lit("")))
+    others = F.regexp_replace(text, r"[\x00-\x7F]+", "")
+    single = F.regexp_replace(others, _TWO_UNITS + "+", "")
+    doubled = F.length(others) - F.length(single)
+    total = F.length(F.replace(text, F.lit(" "), F.lit(""))) + doubled
     ascii_small = F.length(text) - F.length(F.regexp_replace(text, "[a-z]+", ""))
-    others = F.split(F.regexp_replace(text, r"[\x00-\x7F]+", ""), "")
-    other_small = F.size(F.filter(others, lambda c: c != F.upper(c)))
+    other_small = F.size(F.filter(F.split(single, ""), lambda c: c != F.upper(c)))
     ratio = F.try_divide(total - ascii_small - other_small, total)
     return F.round(F.coalesce(ratio, F.when(total == 0, 1.0)), 2)
 
@@ -65,7 +70,10 @@ def kept_tokens(tokens: Column, stop: Iterable[str] = STOP_WORDS) -> Column:
     stop = list(stop)
 
     def keep(token: Column) -> Column:
-        long_enough = F.length(token) >= MIN_TOKEN_LENGTH
+        size = F.length(token)
+        # Length is meant in 16-bit units; a shorter text of them may reach it.
+        wide = (size == MIN_TOKEN_LENGTH - 1) & token.rlike(_TWO_UNITS)
+        long_enough = (size >= MIN_TOKEN_LENGTH) | wide
         return long_enough & ~token.isin(stop) if stop else long_enough
 
     return F.transform(F.filter(tokens, keep), F.lower)

@@ -26,6 +26,9 @@ SHAPES = [
     ("abc d", 2, 0.0),
     ("a\tB\n", 1, 0.75),
     ("ß é É", 3, 0.33),
+    ("a😀", 1, 0.67),
+    ("😀", 1, 1.0),
+    ("\U00010428", 1, 1.0),
     (None, None, None),
 ]
 
@@ -69,6 +72,7 @@ def test_capital_ratio_rounds_half_up(spark):
         ("A stopWord, stopword!", "A stopWord stopword", "stopword"),
         (",.!?:;", "", ""),
         ("", "", ""),
+        ("a😀 😀 ab abc", "a😀 😀 ab abc", "a😀 abc"),
         (None, None, None),
     ],
 )
