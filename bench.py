@@ -1,7 +1,7 @@
 """Headline queries at BENCH_SF_DIR on local[BENCH_CPUS]; prints one JSON line.
 
 Every query is run to the last row into a sink that discards them. The time is
-the median of three runs after one warm-up run; queries that train models run
+the median of three runs after two warm-up runs; queries that train models run
 once. BENCH_QUERIES restricts the run to some names, comma-separated.
 """
 
@@ -70,9 +70,8 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     timings: dict[str, float] = {}
     for name in chosen.split(",") if chosen else RELATIONAL + TRAINED:
-        first = run_once(spark, name, sf_dir)
-        again = [] if name in TRAINED else [run_once(spark, name, sf_dir) for _ in range(3)]
-        timings[name] = round(statistics.median(again or [first]), 3)
+        runs = [run_once(spark, name, sf_dir) for _ in range(1 if name in TRAINED else 5)]
+        timings[name] = round(statistics.median(runs[2:] or runs), 3)
         print(f"{name}: {timings[name]}", file=sys.stderr, flush=True)
     print(
         json.dumps(

@@ -79,7 +79,11 @@ def nb_predict(
     """
     model = _theta(_weight_sums(weights, classes), smoothing, len(classes))
     thetas = [f"theta{i}" for i in range(len(classes))]
-    scored = lookup_join(test, model.select("term", "df", *thetas), "term", "df", "id")
+    # Every row of weights is one document of its term.
+    documents = weights.agg(F.count("term")).scalar()
+    scored = lookup_join(
+        test, model.select("term", "df", *thetas), "term", "df", "id", total=documents
+    )
     pi = [
         priors.where(F.col("label") == c).agg(F.max("pi")).scalar() for c in classes
     ]
