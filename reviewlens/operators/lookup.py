@@ -25,9 +25,9 @@ def lookup_join(
     """Inner join ``rows`` to ``lookup`` (one row per ``key``) with hot keys apart.
 
     ``lookup[rows_per_key]`` tells how many of ``total`` rows carry the key; by
-    default ``total`` is the sum over the lookup. A frequent key must not be
-    missing there. Pass ``total`` when the lookup has
+    default ``total`` is the sum over the lookup. Pass it when the lookup has
     many columns, so that the lookup is not aggregated once more for the sum.
+    A frequent key of ``rows`` must not be missing in the lookup.
 
     Hot keys, fewer than ``slots``, are broadcast by hint. Their rows then only
     pass through the second join, spread by a hash of ``salt_on``, which is the
