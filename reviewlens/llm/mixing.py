@@ -122,19 +122,42 @@ def mix_sources(
     )
 
 
-def taken_rows(docs: DataFrame, mixed: DataFrame, row: str, text: str = "text") -> DataFrame:
+def mixed_rows(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: Sequence[int] = WEIGHTS,
+    share: float = SHARE,
+    epochs: int = EPOCHS,
+) -> DataFrame:
     """``docs`` as the mix takes them: whole copies, then a cut one up to the budget.
 
-    ``row`` names a column that holds the number of the row in both frames.
+    Rows that are equal in every column are taken together.
     """
-    took, size, copy = (unused(docs, c) for c in ("mix_taken", "mix_size", "mix_copy"))
-    chosen = mixed.where("taken > 0").select(
-        row, F.col("taken").alias(took), F.col("size").alias(size)
+    mark, took, size, rows, copy = (
+        unused(docs, f"mix_{c}") for c in ("mark", "taken", "size", "rows", "copy")
+    )
+    tagged = docs.withColumn(mark, F.xxhash64(*docs.columns))
+    mixed = mix_sources(tagged, key, text, source, weights, share, epochs, carry=[mark])
+    chosen = stage(
+        mixed.groupBy(F.col("doc_id").alias("mix_id"), F.col(mark).alias("mix_other"))
+        .agg(F.sum("taken").alias(took), F.max("size").alias(size), F.count("*").alias(rows))
+        .where(F.col(took) > 0),
+        "chosen",
     )
+
+    def meet(part: DataFrame) -> DataFrame:
+        on = (tagged[mark] == part["mix_other"]) & tagged[key].eqNullSafe(part["mix_id"])
+        return tagged.join(part, on).select(*tagged.columns, took, size, rows)
+
+    met = meet(chosen.where(F.col(rows) == 1))
+    repeated = chosen.where(F.col(rows) > 1)
+    if not repeated.isEmpty():
+        met = met.unionByName(meet(repeated).dropDuplicates([key, mark]))
     words = F.least(F.col(size), F.col(took) - F.col(copy) * F.col(size))
     ends = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"  # after every word
     cut = F.array_join(F.slice(F.split(text, ends), F.lit(1), words.cast("int")), "")
-    copies = F.explode(F.sequence(F.lit(0), ((F.col(took) - 1) / F.col(size)).cast("int")))
-    spread = docs.join(chosen, row).select("*", copies.alias(copy))
+    copies = F.explode(F.sequence(F.lit(0), F.floor((F.col(took) - 1) / F.col(size)).cast("int")))
     kept = F.when(words < F.col(size), cut).otherwise(F.col(text))
-    return spread.withColumn(text, kept).select(docs.columns)
+    return met.select("*", copies.alias(copy)).withColumn(text, kept).select(docs.columns)

@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewlens.llm import bpe, chat, licenses, mixing, quality, rules, sharding
+from reviewlens.llm import (
+    bpe,
+    chat,
+    dedup,
+    licenses,
+    mixing,
+    quality,
+    rules,
+    sharding,
+    similarity,
+    toxicity,
+)
 from reviewlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +30,10 @@ ADDED_CONVERSATION = -7
 ADDED_TEXT = "\\### Assistant: </turn> ok"
 
 
+def op1_exact_dedup(spark, sf):
+    return dedup.exact_duplicates(table(spark, sf, "documents"))
+
+
 def op2_mixing(spark, sf):
     return mixing.mix_sources(table(spark, sf, "documents"))
 
@@ -31,6 +46,11 @@ def op4_bpe(spark, sf):
     return bpe.encoding_digests(table(spark, sf, "documents"), TOKENIZER)
 
 
+def op5_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    return toxicity.score_toxicity(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+
+
 def op6_chat_formatting(spark, sf):
     said = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     added = spark.createDataFrame(
@@ -44,6 +64,10 @@ def op7_sharding(spark, sf):
     return sharding.assign_shards(table(spark, sf, "documents"), [1.0] * SHARDS)
 
 
+def op8_jaccard_join(spark, sf):
+    return similarity.similar_components(table(spark, sf, "documents"))
+
+
 def op9_quality_classifier(spark, sf):
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     held = quality.held_out(F.col("doc_id"))
@@ -56,16 +80,28 @@ def op10_quality_rules(spark, sf):
 
 
 QUERIES: dict[str, Query] = {
+    "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
     "op3_license_scan": op3_license_scan,
     "op4_bpe": op4_bpe,
+    "op5_toxicity": op5_toxicity,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_sharding": op7_sharding,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_exact_dedup": r"""
+select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_size,
+  doc_id = min(doc_id) over same as kept, sha256(body) as text_sha256
+from (
+  select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as body
+  from documents
+)
+window same as (partition by body)
+""",
     "op2_mixing": r"""
 with docs as (
   select doc_id, source, coalesce(text, '') as body from documents
