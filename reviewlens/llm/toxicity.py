@@ -30,8 +30,8 @@ THRESHOLD = 0.5
 SAMPLE, SAMPLE_CHARS = (4500, 1500), 6_000
 WINDOW, STRIDE = 32, 24
 WORD_DIM, LETTER_DIM, HIDDEN, ATTENTION = 6, 6, 8, 8
-GROUP, MIN_WORD_DOCS, MIN_GROUP_DOCS = 4, 6, 10
-EPOCHS, BATCH, RATE, SEED = 5, 256, 0.01, 7
+GROUP, MIN_WORD_DOCS, MIN_GROUP_DOCS = 4, 4, 6
+STEPS, BATCH, RATE, SEED = 300, 256, 0.01, 7
 # Documents that a feature is seen in, in addition, in each class.
 PRIOR_DOCS = 2
 WINDOWS_AT_ONCE, REMEMBERED = 4096, 200_000
@@ -40,14 +40,17 @@ WINDOWS_AT_ONCE, REMEMBERED = 4096, 200_000
 _BLANKED = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
-def words_of(text: str) -> list[bytes]:
-    return text.lower().encode("utf-8", "surrogatepass").translate(_BLANKED).split()
+def words_of(text: str) -> list[str]:
+    data = text.lower().encode("utf-8", "surrogatepass").translate(_BLANKED)
+    return data.decode("utf-8", "surrogatepass").split()
 
 
-def letter_groups(word: bytes) -> set[bytes]:
-    """Groups of four bytes, with marks for the word's ends."""
-    marked = b"^" + word + b"$"
-    return {marked[i : i + GROUP] for i in range(max(1, len(marked) - GROUP + 1))}
+def letter_groups(word: str) -> set[str]:
+    """Groups of four letters, with marks for the word's ends, and its first five letters."""
+    marked = f"^{word}$"
+    groups = {marked[i : i + GROUP] for i in range(max(1, len(marked) - GROUP + 1))}
+    groups.add(marked[: GROUP + 2])
+    return groups
 
 
 def windows(size: int) -> range:
@@ -59,17 +62,17 @@ def windows(size: int) -> range:
 class Network:
     """Parameters, and the vocabularies of the two embeddings (0: unknown)."""
 
-    words: dict[bytes, int]
-    groups: dict[bytes, int]
+    words: dict[str, int]
+    groups: dict[str, int]
     p: dict[str, np.ndarray] = field(default_factory=dict)
     # Score of every text, where there was nothing to learn from.
     constant: float | None = None
 
-    def inputs(self, word: bytes) -> tuple[int, list[int]]:
+    def inputs(self, word: str) -> tuple[int, list[int]]:
         known = self.groups.get
         return self.words.get(word, 0), [known(x, 0) for x in letter_groups(word)]
 
-    def vectors(self, words: list[bytes]) -> np.ndarray:
+    def vectors(self, words: list[str]) -> np.ndarray:
         """Input of each word to the gates of both directions, biases included."""
         inputs = [self.inputs(w) for w in words]
         counts = np.array([len(g) for _, g in inputs])
@@ -169,7 +172,7 @@ def _log_odds(documents: Iterable[set], labels: np.ndarray, least: int) -> dict:
     }
 
 
-def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = SEED) -> Network:
+def train(texts: list[str], labels: list[int], steps: int = STEPS, seed: int = SEED) -> Network:
     """Fit the network on labelled texts.
 
     A label belongs to a text, not to a window. Log odds of words and letter groups
@@ -180,7 +183,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     if len(set(labels)) < 2:
         return Network({}, {}, constant=float(wanted.mean()) if len(wanted) else 0.0)
     rng = np.random.default_rng(seed)
-    same: dict[bytes, bytes] = {}  # one object per distinct word
+    same: dict[str, str] = {}  # one object per distinct word
     words = [[same.setdefault(w, w) for w in words_of(t)] for t in texts]
     word_odds = _log_odds(map(set, words), wanted, MIN_WORD_DOCS)
     memo = {w: letter_groups(w) for w in same}
@@ -191,7 +194,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     )
     net.p = _first_parameters(word_odds, group_odds, rng)
     chosen, targets = _training_windows(words, wanted, word_odds, group_odds, memo, rng)
-    _descend(net, chosen, targets, epochs, rng)
+    _descend(net, chosen, targets, steps, rng)
     return net
 
 
@@ -220,9 +223,9 @@ def _first_parameters(word_odds, group_odds, rng) -> dict[str, np.ndarray]:
 
 def _training_windows(words, labels, word_odds, group_odds, memo, rng):
     """Windows to learn from and their labels."""
-    suspicion: dict[bytes, float] = {}
+    suspicion: dict[str, float] = {}
 
-    def suspicious(word: bytes) -> float:
+    def suspicious(word: str) -> float:
         if word not in suspicion:
             known = [group_odds[g] for g in memo[word] if g in group_odds]
             letters = sum(sorted(known)[-4:]) / 4 if known else 0.0
@@ -246,9 +249,9 @@ def _training_windows(words, labels, word_odds, group_odds, memo, rng):
     return chosen, np.array(targets, np.float32)
 
 
-def _descend(net: Network, chosen, targets, epochs: int, rng) -> None:
+def _descend(net: Network, chosen, targets, steps: int, rng) -> None:
     """Adam over shuffled batches of windows."""
-    index: dict[bytes, int] = {}
+    index: dict[str, int] = {}
     ids = np.full((len(chosen), WINDOW), -1, np.int64)
     for i, window in enumerate(chosen):
         ids[i, : len(window)] = [index.setdefault(w, len(index)) for w in window]
@@ -260,7 +263,7 @@ def _descend(net: Network, chosen, targets, epochs: int, rng) -> None:
     first = {k: np.zeros_like(v) for k, v in net.p.items()}
     second = {k: np.zeros_like(v) for k, v in net.p.items()}
     p, step = net.p, 0
-    for _ in range(epochs):
+    while step < steps and len(chosen):
         order = rng.permutation(len(chosen))
         for at in range(0, len(order), BATCH):
             batch = order[at : at + BATCH]
@@ -303,12 +306,12 @@ class Scorer:
         self._forget()
 
     def _forget(self) -> None:
-        self.index: dict[bytes, int] = {}
+        self.index: dict[str, int] = {}
         # Row 0 stands for the place behind the last word.
         self.rows = np.zeros((1024, 6 * HIDDEN), np.float32)
         self.rows[0] = self.net.p["bias"]
 
-    def _numbers(self, words: list[bytes]) -> np.ndarray:
+    def _numbers(self, words: list[str]) -> np.ndarray:
         index = self.index
         new = [w for w in dict.fromkeys(words) if w not in index]
         if new:
