@@ -303,7 +303,8 @@ class Scorer:
 
     def __init__(self, net: Network):
         self.net = net
-        self._forget()
+        if net.constant is None:
+            self._forget()
 
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
