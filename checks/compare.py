@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 import traceback
 
@@ -55,10 +56,17 @@ def difference(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 def main() -> int:
     sf_dir, names = sys.argv[1], sys.argv[2:] or list(QUERIES)
+    # Tables that queries write live as long as this run.
+    with tempfile.TemporaryDirectory(prefix="reviewlens-checks-") as shared:
+        return compare(sf_dir, names, shared)
+
+
+def compare(sf_dir: str, names: list[str], shared: str) -> int:
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", shared)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -75,6 +83,7 @@ def main() -> int:
         bad += bool(problem)
         kind = "sql" if name in ORACLES else "rows"
         print(f"{name:36s} {kind:5s} {time.time() - start:6.1f}s {problem or 'ok'}", flush=True)
+    spark.stop()
     return bad
 
 

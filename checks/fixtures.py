@@ -14,25 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, scan: DataFrame, key: str) -> DataFrame:
-    """``df`` shared out over the cores if ``scan`` has fewer pieces than cores.
-
-    The driver writes each table as one row group, which one task would read
-    and process alone. Tables large enough to occupy all cores stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else df
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return spread(docs, docs, "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def labeled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    labels = table(spark, sf_dir, "labels")
-    return spread(docs.join(labels, "doc_id"), docs, "doc_id")
+    return documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +50,15 @@ def rated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def identified_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with an id and a rating: many cold part keys, and supplier keys that are hot."""
+    line = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line")
+    rating = ((F.col("l_linenumber") - 1) % 5 + 1).cast("double").alias("rating")
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber")
+    keys = lines.agg(F.min("l_partkey").alias("l_partkey"), F.min("l_suppkey").alias("l_suppkey"))
+    return keys.select(line, "l_partkey", "l_suppkey", rating)
+
+
 def order_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         "o_custkey", epoch_seconds(F.col("o_orderdate")).alias("seconds")

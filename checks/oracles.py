@@ -59,6 +59,13 @@ joined as (
     )
 )
 
+_LINE_STARS = ", ".join(
+    f"pow(count(*) filter (where rating = {k}) over (partition by {key}), 2)"
+    f" / count(*) over (partition by {key}) * {20*k} as {p}{k}star"
+    for p, key in (("p", "l_partkey"), ("u", "l_suppkey"))
+    for k in range(1, 6)
+)
+
 _RATE = """
 rates as (
   select reviewerID,
@@ -163,6 +170,14 @@ priors as (
 )"""
 
 
+_SCORES = f"""
+scores as (
+  select w.id, t.label, sum(w.weight * t.theta) + any_value(p.pi) score
+  from weights w join theta t using (term) join priors p on p.label = t.label
+  where not {_IN_TRAIN.format(key='w.id')} group by 1, 2
+)"""
+
+
 def _metrics(source: str, label: str, prediction: str) -> str:
     return f"""
 cells as (select cast({label} as double) label, cast({prediction} as double) prediction from {source}),
@@ -199,13 +214,18 @@ def _lines(quality: int, prefix: str) -> str:
           from documents d join labels l on d.doc_id = l.doc_id where l.quality = {quality})"""
 
 
-_LEMMA_QUERY = f"""
-with docs as (select doc_id, {_surface('text')} ts from documents),
-tok as (select doc_id, unnest(ts) surface, unnest(range(len(ts))) pos from docs),
+def _lemma_query(rows: str, columns: str) -> str:
+    """Texts of ``rows`` (doc_id, columns, text), with the lemmas of the documents."""
+    return f"""
+with rows as ({rows}),
+own as (select doc_id, {_surface('text')} ts from documents),
 lemmas as (
-  select distinct surface, left(surface, length(surface) - 1) lemma from tok
+  select distinct surface, left(surface, length(surface) - 1) lemma
+  from (select unnest(ts) surface from own)
   where surface like '%s' and length(surface) > 4
 ),
+split as (select doc_id, {_surface('text')} ts from rows),
+tok as (select doc_id, unnest(ts) surface, unnest(range(len(ts))) pos from split),
 merged as (
   select doc_id, pos, coalesce(lemma, surface) t from tok left join lemmas using (surface)
 ),
@@ -213,7 +233,7 @@ done as (
   select doc_id, string_agg(lower(t), ' ' order by pos) normalized from merged
   where length(t) > 2 and t <> 'stopWord' group by 1
 )
-select d.doc_id, coalesce(normalized, '') as normalized from documents d left join done using (doc_id)"""
+select {columns}, coalesce(normalized, '') as normalized from rows left join done using (doc_id)"""
 
 
 def _rate_query(source: str, user: str, stamp: str) -> str:
@@ -228,7 +248,7 @@ _FOLD = "cast(('0x' || substr(md5('fold:' || cast(doc_id as varchar)), 1, 8))::b
 
 ORACLES: dict[str, str] = {
     "read_labeled_reviews": f"""
-        {_with(_REVIEWS)} select cast(reviewID as int) as reviewID, asin, helpfulPos, helpfulNeg,
+        {_with(_REVIEWS)} select reviewID, asin, helpfulPos, helpfulNeg,
           overall, reviewText, cast(null as varchar) as reviewTime, reviewerID,
           cast(null as varchar) as reviewerName, cast(null as varchar) as summary,
           unixReviewTime, label from reviews""",
@@ -237,7 +257,14 @@ ORACLES: dict[str, str] = {
         select 'reviewID' as "column", count(*) filter (where reviewID is null) as nulls from reviews
         union all select 'asin', count(*) filter (where asin is null) from reviews
         union all select 'reviewerID', count(*) filter (where reviewerID is null) from reviews
-        union all select 'reviewText', count(*) filter (where reviewText is null) from reviews""",
+        union all select 'reviewText', count(*) filter (where reviewText is null) from reviews
+        union all select 'helpfulPos', count(*) filter (where helpfulPos is null) from reviews
+        union all select 'helpfulNeg', count(*) filter (where helpfulNeg is null) from reviews
+        union all select 'overall', count(*) filter (where overall is null) from reviews""",
+    "bad_records": f"""
+        {_with(_REVIEWS)}
+        select count(*) as records, count(*) filter (where overall > 2) as bad,
+          12 * count(*) - count(*) filter (where overall > 2) as fields from reviews""",
     "read_line_corpus": _lines(0, "D"),
     "union_corpora": f"{_lines(0, 'D')} union all {_lines(1, 'T')}",
     "contiguous_index": """
@@ -256,6 +283,10 @@ ORACLES: dict[str, str] = {
                   from labels group by 1)
         select "class", coalesce(n, 0) as found, expected, coalesce(n, 0) = expected as ok
         from plan left join found on c = "class" """,
+    "class_files_completeness": """
+        select case when quality = 1 then 't' else 'd' end as "class",
+          count(distinct d.lang) + 1 as files
+        from documents d join labels l on d.doc_id = l.doc_id group by 1""",
     "product_star_profile": _profile_query(_REVIEWS, "reviews", "asin", "overall", "pid", "p"),
     "user_star_profile": _profile_query(_REVIEWS, "reviews", "reviewerID", "overall", "uid", "u"),
     "product_star_profile_lineitem": _profile_query(_RATED, "rated", "l_partkey", "rating", "pid", "p"),
@@ -276,6 +307,11 @@ ORACLES: dict[str, str] = {
         {_with(_REVIEWS, _PROFILES)} select reviewID, asin, helpfulPos, helpfulNeg, overall,
           reviewText, unixReviewTime, reviewerID, p1star, p2star, p3star, p4star, p5star,
           u1star, u2star, u3star, u4star, u5star, label from joined""",
+    "attach_profiles_lineitem": f"""
+        with lines as (select l_orderkey * 8 + l_linenumber as line, min(l_partkey) as l_partkey,
+          min(l_suppkey) as l_suppkey, cast((l_linenumber - 1) % 5 + 1 as double) rating
+          from lineitem group by l_orderkey, l_linenumber)
+        select line, l_partkey, l_suppkey, rating, {_LINE_STARS} from lines""",
     "text_shape": f"""
         select doc_id, {_word_count('text')} as reviewWordCount,
           {_capital_ratio('text')} as capitalLetterRatio from documents""",
@@ -287,8 +323,15 @@ ORACLES: dict[str, str] = {
         {_with(*_REVIEW_FEATURES, _FEATURE_TEXT)}
         select reviewID, label, featureText from feature_text""",
     "normalize_text": f"select doc_id, {_normalized('text')} as normalized from documents",
-    "normalize_text_lemmas": _LEMMA_QUERY,
-    "normalize_text_lemma_join": _LEMMA_QUERY,
+    "normalize_text_lemmas": _lemma_query("select doc_id, text from documents", "doc_id"),
+    "normalize_text_lemma_join": _lemma_query(
+        "select row_number() over () as doc_id, conv_id, turn, text from conversations",
+        "conv_id, turn",
+    ),
+    "normalize_text_repeated_ids": _lemma_query(
+        "select doc_id, case when doc_id % 11 > 0 then doc_id % 10 end as few, text from documents",
+        "few",
+    ),
     "text_only_frame": f"""
         {_with(_REVIEWS, _TEXTS)} select reviewID, label, txt as text from texts""",
     "text_features_frame": f"""
@@ -314,17 +357,20 @@ ORACLES: dict[str, str] = {
         {_with(_REVIEWS, _TEXTS, _COUNTS, _WEIGHTS, _BAYES)}
         select label, n, round(pi, 9) as pi from priors""",
     "nb_predict": f"""
-        {_with(_REVIEWS, _TEXTS, _COUNTS, _WEIGHTS, _BAYES)},
-        scores as (
-          select w.id, t.label, sum(w.weight * t.theta) + any_value(p.pi) score
-          from weights w join theta t using (term) join priors p on p.label = t.label
-          where not {_IN_TRAIN.format(key='w.id')} group by 1, 2
-        )
+        {_with(_REVIEWS, _TEXTS, _COUNTS, _WEIGHTS, _BAYES, _SCORES)}
         select id, round(max(score) filter (where label = 0), 4) as score0,
           round(max(score) filter (where label = 1), 4) as score1,
           case when max(score) filter (where label = 0) >= max(score) filter (where label = 1)
             then 0.0::double else 1.0::double end as prediction
         from scores group by 1""",
+    "nb_split_metrics": f"""
+        {_with(_REVIEWS, _TEXTS, _COUNTS, _WEIGHTS, _BAYES, _SCORES)},
+        pairs as (
+          select any_value(r.label) truth,
+            case when max(score) filter (where s.label = 0) >= max(score) filter (where s.label = 1)
+              then 0.0::double else 1.0::double end guess
+          from scores s join reviews r on r.reviewID = s.id group by s.id
+        ), {_metrics('pairs', 'truth', 'guess')} {_METRIC_ROWS}""",
     "classification_metrics": f"with {_metrics('labels', 'quality', 'toxic')} {_METRIC_ROWS}",
     "classification_metrics_languages": f"""
         with pairs as (

@@ -14,13 +14,10 @@ from reviewlens.operators import bayes, clusters, indexing, metrics, profiles, t
 from reviewlens.operators.normalize import normalize_text
 from reviewlens.plans import features, models, scoring
 from reviewlens.sources import corpus, reviews as review_files
-from reviewlens.sources.staging import new_path, stage
+from reviewlens.sources.staging import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Small search grids keep a check run short; the defaults are the full grids.
-_SMALL_FOREST_GRID = {"maxDepth": [10, 12], "numTrees": [10]}
-
 
 # --- sources ---------------------------------------------------------------
 
@@ -28,11 +25,27 @@ _SMALL_FOREST_GRID = {"maxDepth": [10, 12], "numTrees": [10]}
 def read_labeled_reviews(spark, sf):
     root = new_path(spark, "csv")
     review_files.write_labeled_reviews(fx.reviews(spark, sf), root, "reviews")
-    return review_files.read_labeled_reviews(spark, root, "reviews")
+    return review_files.read_labeled_reviews(spark, root, "reviews", multi_line=True)
+
+
+def bad_records(spark, sf):
+    """Reviews written with their source in place of the rating, unless it is 1 or 2."""
+    root = new_path(spark, "csv")
+    low = F.col("overall") <= 2
+    odd = fx.reviews(spark, sf).select(
+        "reviewID", "asin", "helpfulPos", "helpfulNeg",
+        F.when(low, F.col("overall").cast("string")).otherwise(F.col("asin")).alias("overall"),
+        F.lit("t").alias("reviewText"), F.lit("").alias("reviewTime"), "reviewerID",
+        F.lit("").alias("reviewerName"), F.lit("").alias("summary"), "unixReviewTime", "label",
+    )
+    odd.write.options(header=True).csv(f"{root}/reviews")
+    return review_files.bad_records(spark, root, "reviews")
 
 
 def null_report(spark, sf):
-    columns = ["reviewID", "asin", "reviewerID", "reviewText"]
+    columns = [
+        "reviewID", "asin", "reviewerID", "reviewText", "helpfulPos", "helpfulNeg", "overall"
+    ]
     return review_files.null_report(fx.reviews(spark, sf), columns)
 
 
@@ -70,6 +83,18 @@ def corpus_completeness(spark, sf):
     return corpus.corpus_completeness(labels, unit_col="doc_id")
 
 
+def class_files_completeness(spark, sf):
+    """Entries of a corpus written as text, one per quality and language, and an empty one."""
+    root = new_path(spark, "corpus")
+    docs = fx.labeled_documents(spark, sf)
+    for quality, name in ((0, "d"), (1, "t")):
+        chosen = docs.where(F.col("quality") == quality).select("lang", "text")
+        empty = chosen.select(F.lit("none").alias("lang"), F.lit(None).cast("string").alias("text"))
+        parts = chosen.unionByName(empty.limit(1)).repartition(1, "lang")
+        parts.write.partitionBy("lang").text(f"{root}/{name}")
+    return corpus.class_files(spark, root).groupBy("class").agg(F.count("*").alias("files"))
+
+
 # --- profiles and rates ----------------------------------------------------
 
 
@@ -126,6 +151,11 @@ def attach_profiles(spark, sf):
     return profiles.attach_profiles(fx.reviews(spark, sf))
 
 
+def attach_profiles_lineitem(spark, sf):
+    lines = fx.identified_lines(spark, sf)
+    return profiles.attach_profiles(lines, "l_partkey", "l_suppkey", "rating", "line")
+
+
 # --- text and features -----------------------------------------------------
 
 
@@ -149,21 +179,26 @@ def features_as_text(spark, sf):
 
 def normalize_text_documents(spark, sf):
     docs = fx.documents(spark, sf).select("doc_id", "text")
-    return normalize_text(docs, "text", "doc_id").drop("text")
+    return normalize_text(docs, "text").drop("text")
 
 
 def normalize_text_lemmas(spark, sf):
     docs = fx.documents(spark, sf).select("doc_id", "text")
     lemmas = fx.lemma_table(spark, sf)
-    return normalize_text(docs, "text", "doc_id", lemmas=lemmas).drop("text")
+    return normalize_text(docs, "text", lemmas=lemmas).drop("text")
 
 
 def normalize_text_lemma_join(spark, sf):
-    docs = fx.documents(spark, sf).select("doc_id", "text")
-    lemmas = fx.lemma_table(spark, sf)
-    return normalize_text(
-        docs, "text", "doc_id", lemmas=lemmas, max_inline=0
-    ).drop("text")
+    """Conversation turns, with the lemmas of the documents."""
+    turns = fx.table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    return normalize_text(turns, "text", lemmas=fx.lemma_table(spark, sf)).drop("text")
+
+
+def normalize_text_repeated_ids(spark, sf):
+    """Ten ids for all documents, and none for some: rows stay apart."""
+    few = F.when(F.col("doc_id") % 11 > 0, F.col("doc_id") % 10).alias("few")
+    docs = fx.documents(spark, sf).select(few, "text")
+    return normalize_text(docs, "text", lemmas=fx.lemma_table(spark, sf)).drop("text")
 
 
 def text_only_frame(spark, sf):
@@ -234,24 +269,8 @@ def cross_validation_folds(spark, sf):
 # --- naive Bayes in relational form, metrics, clusters ---------------------
 
 
-def _bayes_input(spark, sf):
-    """Weights of all terms, staged once; the label is null outside training."""
-    reviews = fx.reviews(spark, sf)
-    words = normalized_tokens("reviewText")
-    weights = terms.tfidf_terms(_review_words(spark, sf), "reviewID", words)
-    labels = reviews.select(F.col("reviewID").alias("id"), "label")
-    part = split_part("id")
-    labelled = weights.join(labels, "id").withColumn("part", part)
-    return stage(labelled, "weights"), labels.where(part == 0)
-
-
-def _training(weights):
-    return weights.withColumn("label", F.when(F.col("part") == 0, F.col("label")))
-
-
 def nb_aggregates(spark, sf):
-    weights, _ = _bayes_input(spark, sf)
-    table = bayes.nb_aggregates(_training(weights))
+    table = bayes.nb_aggregates(bayes.bayes_weights(fx.reviews(spark, sf)))
     return table.withColumns(
         {"weight_sum": F.round("weight_sum", 6), "theta": F.round("theta", 6)}
     )
@@ -263,15 +282,17 @@ def nb_priors(spark, sf):
     return priors.withColumn("pi", F.round("pi", 9))
 
 
-def _nb_predictions(spark, sf):
-    weights, labels = _bayes_input(spark, sf)
-    test = weights.where("part = 1").select("id", "term", "weight")
-    return bayes.nb_predict(_training(weights), test, bayes.nb_priors(labels))
-
-
 def nb_predict(spark, sf):
     scores = {c: F.round(c, 4) for c in ("score0", "score1")}
-    return _nb_predictions(spark, sf).withColumns(scores)
+    return bayes.nb_split_predict(fx.reviews(spark, sf)).withColumns(scores)
+
+
+def nb_split_metrics(spark, sf):
+    """Relational naive Bayes from reviews to metrics."""
+    reviews = fx.reviews(spark, sf)
+    labels = reviews.select(F.col("reviewID").alias("id"), "label")
+    report = metrics.classification_metrics(bayes.nb_split_predict(reviews).join(labels, "id"))
+    return report.withColumn("value", F.round("value", 9))
 
 
 def classification_metrics(spark, sf):
@@ -361,13 +382,12 @@ def kmeans_cv(spark, sf):
 
 
 def rf_cv(spark, sf):
-    return models.rf_cv(_frames(spark, sf), grid=_SMALL_FOREST_GRID)
+    return models.rf_cv(_frames(spark, sf))
 
 
 def metrics_report(spark, sf):
-    frames = _frames(spark, sf)
-    reports = [models.nb_train_eval(frames), models.lsvc_train_eval(frames)]
-    return metrics.metrics_report(reports, new_path(spark, "report"))
+    """All eight runs on both frames, written and read back."""
+    return models.run_all(_frames(spark, sf), new_path(spark, "report"))
 
 
 def corpus_mlp_train_eval(spark, sf):
@@ -377,7 +397,7 @@ def corpus_mlp_train_eval(spark, sf):
 
 def _saved_model(spark, sf):
     lines = corpus.union_corpora(*fx.corpora(spark, sf))
-    model, _ = scoring.train_corpus_model(lines, "naive_bayes")
+    model, _ = scoring.train_corpus_model(lines)
     path = new_path(spark, "model")
     scoring.save_model(model, path)
     return model, path
@@ -403,6 +423,7 @@ def score_with_saved_model(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "read_labeled_reviews": read_labeled_reviews,
+    "bad_records": bad_records,
     "null_report": null_report,
     "read_line_corpus": read_line_corpus,
     "union_corpora": union_corpora,
@@ -410,6 +431,7 @@ QUERIES: dict[str, Query] = {
     "contiguous_index_lineitem": contiguous_index_lineitem,
     "running_start": running_start,
     "corpus_completeness": corpus_completeness,
+    "class_files_completeness": class_files_completeness,
     "product_star_profile": product_star_profile,
     "user_star_profile": user_star_profile,
     "product_star_profile_lineitem": product_star_profile_lineitem,
@@ -421,6 +443,7 @@ QUERIES: dict[str, Query] = {
     "top_reviewers_by_rate": top_reviewers_by_rate,
     "top_reviewers_by_rate_orders": top_reviewers_by_rate_orders,
     "attach_profiles": attach_profiles,
+    "attach_profiles_lineitem": attach_profiles_lineitem,
     "text_shape": text_shape,
     "text_shape_conversations": text_shape_conversations,
     "feature_table": feature_table,
@@ -428,6 +451,7 @@ QUERIES: dict[str, Query] = {
     "normalize_text": normalize_text_documents,
     "normalize_text_lemmas": normalize_text_lemmas,
     "normalize_text_lemma_join": normalize_text_lemma_join,
+    "normalize_text_repeated_ids": normalize_text_repeated_ids,
     "text_only_frame": text_only_frame,
     "text_features_frame": text_features_frame,
     "hashing_tf": hashing_tf,
@@ -440,6 +464,7 @@ QUERIES: dict[str, Query] = {
     "nb_aggregates": nb_aggregates,
     "nb_priors": nb_priors,
     "nb_predict": nb_predict,
+    "nb_split_metrics": nb_split_metrics,
     "classification_metrics": classification_metrics,
     "classification_metrics_languages": classification_metrics_languages,
     "confusion_matrix": confusion_matrix,

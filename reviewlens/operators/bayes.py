@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from reviewlens.functions.split import split_part
+from reviewlens.functions.text import normalized_tokens
 from reviewlens.operators.lookup import lookup_join
+from reviewlens.operators.terms import term_counts, tfidf_terms
 from reviewlens.schema import CLASSES
+from reviewlens.sources.staging import stage
 
 
 def nb_priors(
@@ -38,13 +42,38 @@ def _weight_sums(weights: DataFrame, classes: Sequence[float]) -> DataFrame:
 
 
 def _theta(sums: DataFrame, smoothing: float, n_classes: int) -> DataFrame:
-    """Add theta0, theta1, … = ln(S_ct + s) - ln(S_c + V * s)."""
-    vocabulary = F.count("*") * smoothing
-    for i in range(n_classes):
-        mass = sums.agg(F.sum(f"s{i}") + vocabulary).scalar()
-        theta = F.log(F.col(f"s{i}") + smoothing) - F.log(mass)
-        sums = sums.withColumn(f"theta{i}", theta)
-    return sums
+    """Add theta0, theta1, … = ln(S_ct + s) - ln(S_c + V * s), from one aggregate."""
+    masses = F.array(*[F.sum(f"s{i}") + F.count("*") * smoothing for i in range(n_classes)])
+    total = sums.agg(masses).scalar()
+    return sums.withColumns(
+        {
+            f"theta{i}": F.log(F.col(f"s{i}") + smoothing) - F.log(total[i])
+            for i in range(n_classes)
+        }
+    )
+
+
+def bayes_weights(
+    reviews: DataFrame,
+    row_id: str = "reviewID",
+    text: str = "reviewText",
+    label: str = "label",
+    part: Column | None = None,
+) -> DataFrame:
+    """(id, term, df, weight, label, part) of all reviews with text, staged.
+
+    Part 0 is for training; the label is null outside it. The label travels with
+    the terms of its row, and the terms are counted once.
+    """
+    part = split_part(row_id) if part is None else part
+    rows = reviews.where(F.col(text).isNotNull()).select(
+        row_id, text, part.alias("part"), F.when(part == 0, F.col(label)).alias("label")
+    )
+    carry = ["part", "label"]
+    words = normalized_tokens(text)
+    counts = stage(term_counts(rows, row_id, words, carry), "counts")
+    weights = tfidf_terms(rows, row_id, words, counts, carry)
+    return stage(weights.select("id", "term", "df", "weight", *carry), "weights")
 
 
 def nb_aggregates(
@@ -82,7 +111,7 @@ def nb_predict(
     # Every row of weights is one document of its term.
     documents = weights.agg(F.count("term")).scalar()
     scored = lookup_join(
-        test, model.select("term", "df", *thetas), "term", "df", "id", total=documents
+        test, model.select("term", "df", *thetas), "term", "df", total=documents
     )
     pi = [
         priors.where(F.col("label") == c).agg(F.max("pi")).scalar() for c in classes
@@ -97,3 +126,11 @@ def nb_predict(
     return (
         scored.groupBy("id").agg(*scores).select("id", *names, label.alias("prediction"))
     )
+
+
+def nb_split_predict(reviews: DataFrame, smoothing: float = 1.0) -> DataFrame:
+    """Reviews to predictions: train on part 0, score part 1 of the random split."""
+    weights = bayes_weights(reviews)
+    priors = nb_priors(reviews.where(split_part("reviewID") == 0), smoothing)
+    test = weights.where("part = 1").select("id", "term", "weight")
+    return nb_predict(weights, test, priors, smoothing)

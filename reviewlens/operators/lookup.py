@@ -6,11 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A key is hot when it owns more than 1/HOT_SLOTS of all rows, so there are
-# fewer than HOT_SLOTS hot keys whatever the data size.
-HOT_SLOTS = 1000
-
-_SALT, _HOT, _COLD = "_salt", "_hot_values", "_cold_values"
+# There are fewer hot keys than this, or than shuffle partitions if those are more.
+LEAST_SLOTS = 1000
 
 
 def lookup_join(
@@ -18,8 +15,7 @@ def lookup_join(
     lookup: DataFrame,
     key: str | Sequence[str],
     rows_per_key: str,
-    salt_on: str,
-    slots: int = HOT_SLOTS,
+    slots: int | None = None,
     total: Column | None = None,
 ) -> DataFrame:
     """Inner join ``rows`` to ``lookup`` (one row per ``key``) with hot keys apart.
@@ -27,15 +23,19 @@ def lookup_join(
     ``lookup[rows_per_key]`` tells how many of ``total`` rows carry the key; by
     default ``total`` is the sum over the lookup. Pass it when the lookup has
     many columns, so that the lookup is not aggregated once more for the sum.
-    A frequent key of ``rows`` must not be missing in the lookup.
 
-    Hot keys, fewer than ``slots``, are broadcast by hint. Their rows then only
-    pass through the second join, spread by a hash of ``salt_on``, which is the
-    same when a task is retried. All other rows meet the lookup by key; how is
-    left to the optimizer, which broadcasts the lookup only when its measured
-    size allows. ``rows_per_key`` is not part of the result.
+    A key is hot when it owns more than ``total / slots`` rows; by default there is a
+    slot for each shuffle partition, so no other key fills more than the average
+    task. Hot keys, fewer than ``slots``, are broadcast by hint and their rows pass no
+    exchange. The other rows meet the lookup by key; how is left to the optimizer,
+    which broadcasts the lookup only when its measured size allows. ``rows`` is read
+    for either part; stage it before if it is costly. ``rows_per_key`` is not part of
+    the result.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if slots is None:
+        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slots = max(LEAST_SLOTS, partitions)
     # Rows without key match nothing and would meet in one task. The same filter
     # in every use of the lookup lets its exchange be reused.
     for name in keys:
@@ -43,24 +43,11 @@ def lookup_join(
         lookup = lookup.where(F.col(name).isNotNull())
     if total is None:
         total = lookup.agg(F.sum(rows_per_key)).scalar()
-    is_hot = F.col(rows_per_key) * slots > total
-    names = [c for c in lookup.columns if c not in keys and c != rows_per_key]
-    values = F.struct(F.col(rows_per_key), *names)
-    hot = lookup.where(is_hot).select(*keys, values.alias(_HOT))
-    # -1 in all rows, but not as a constant: a constant would be folded into a
-    # condition, and the rows would be partitioned by key without the salt.
-    cold_salt = F.least(F.col(rows_per_key), F.lit(-1)).cast("int")
-    cold = lookup.where(~F.coalesce(is_hot, F.lit(False))).select(
-        *keys, cold_salt.alias(_SALT), values.alias(_COLD)
-    )
-    spread = F.pmod(F.xxhash64(salt_on), F.lit(slots)).cast("int")
-    salt = F.when(F.col(_HOT).isNotNull(), spread).otherwise(-1)
-    found = F.coalesce(_HOT, _COLD)
-    return (
-        rows.join(F.broadcast(hot), keys, "left")
-        .withColumn(_SALT, salt)
-        .join(cold, [*keys, _SALT], "left")
-        .withColumn(_HOT, found)
-        .where(F.col(_HOT).isNotNull())
-        .select(*rows.columns, *[F.col(_HOT)[name].alias(name) for name in names])
-    )
+    is_hot = F.coalesce(F.col(rows_per_key) * slots > total, F.lit(False))
+    values = [c for c in lookup.columns if c not in keys and c != rows_per_key]
+    hot = lookup.where(is_hot).select(*keys, *values)
+    cold = lookup.where(~is_hot).select(*keys, *values)
+    columns = [*rows.columns, *values]
+    few = rows.join(F.broadcast(hot), keys).select(columns)
+    rest = rows.join(F.broadcast(hot.select(keys)), keys, "left_anti")
+    return few.unionByName(rest.join(cold, keys).select(columns))

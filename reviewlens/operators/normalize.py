@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable
 
 from pyspark import keyword_only
@@ -10,67 +9,38 @@ from pyspark.ml import Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from reviewlens.functions.text import kept_tokens, normalized, surface_tokens
 from reviewlens.operators.lookup import lookup_join
 from reviewlens.schema import STOP_WORDS
+from reviewlens.sources.staging import stage
 
-# Largest lemma table that travels with the tasks as one value.
-MAX_INLINE_LEMMAS = 200_000
-_LEMMAS_PER_BUCKET = 4
+_ROW = "_row"
 
 
 def normalize_text(
     df: DataFrame,
     text: str,
-    row_id: str,
     out: str = "normalized",
     lemmas: DataFrame | None = None,
     stop: Iterable[str] = STOP_WORDS,
-    max_inline: int = MAX_INLINE_LEMMAS,
 ) -> DataFrame:
     """Add ``out``: marks stripped, tokens replaced by lemmas, filtered, lowered.
 
-    Without ``lemmas`` (surface, lemma) this is one projection. A lemma table of
-    at most ``max_inline`` rows, read here, is looked up inside the projection as
-    well; a larger one is joined token by token, which needs
-    ``row_id`` to be unique.
+    Without ``lemmas`` (surface, lemma) this is one projection. With them, of any
+    number, every token is joined to its lemma and the row put together again. The
+    rows are numbered and written to the shared folder for that when this is called,
+    so rows that share an id, or have none, stay apart.
     """
     stop = list(stop)
     if lemmas is None:
         return df.withColumn(out, normalized(text, stop))
     known = lemmas.where("surface is not null and lemma is not null")
     lemmas = known.groupBy("surface").agg(F.min("lemma").alias("lemma"))
-    hashed = lemmas.select("surface", "lemma", F.xxhash64("surface").alias("hash"))
-    entries = hashed.limit(max_inline + 1).collect()
-    if len(entries) <= max_inline:
-        return _with_inline_lemmas(df, text, out, entries, stop)
-    return _with_joined_lemmas(df, text, row_id, out, lemmas, stop)
-
-
-def _with_inline_lemmas(df, text, out, entries, stop):
-    """Hash-bucketed lemma maps as one folded literal; the text is not shuffled."""
-    buckets = max(1, len(entries) // _LEMMAS_PER_BUCKET)
-    maps: list[dict[str, str]] = [{} for _ in range(buckets)]
-    for entry in entries:
-        maps[entry["hash"] % buckets][entry["surface"]] = entry["lemma"]
-    table = F.from_json(F.lit(json.dumps(maps)), "array<map<string,string>>")
-
-    def lemma(token: Column) -> Column:
-        bucket = F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
-        return F.coalesce(F.try_element_at(F.get(table, bucket), token), token)
-
-    replaced = F.transform(surface_tokens(text), lemma)
-    return df.withColumn(out, F.array_join(kept_tokens(replaced, stop), " "))
-
-
-def _with_joined_lemmas(df, text, row_id, out, lemmas, stop):
-    """Every token joined to its lemma, then re-assembled per row.
-
-    Token frequencies, counted before the join, tell which tokens are hot.
-    """
-    words = df.select(row_id, F.posexplode(surface_tokens(text)).alias("_pos", "surface"))
+    numbered = stage(df.withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
+    words = numbered.select(_ROW, F.posexplode(surface_tokens(text)).alias("_pos", "surface"))
+    # Token frequencies, counted before the join, tell which tokens are hot.
     vocabulary = (
         words.groupBy("surface")
         .agg(F.count("*").alias("_n"))
@@ -79,13 +49,15 @@ def _with_joined_lemmas(df, text, row_id, out, lemmas, stop):
     )
     pieces = F.array_sort(F.collect_list(F.struct("_pos", "_token")))
     merged = (
-        lookup_join(words, vocabulary, "surface", "_n", row_id)
-        .groupBy(row_id)
+        lookup_join(words, vocabulary, "surface", "_n")
+        .groupBy(_ROW)
         .agg(pieces.alias("_pieces"))
-        .select(row_id, F.col("_pieces._token").alias("_tokens"))
+        .select(_ROW, F.col("_pieces._token").alias("_tokens"))
     )
     joined = F.array_join(kept_tokens(F.col("_tokens"), stop), " ")
-    return df.join(merged, row_id, "left").withColumn(out, joined).drop("_tokens")
+    return (
+        numbered.join(merged, _ROW, "left").withColumn(out, joined).drop(_ROW, "_tokens")
+    )
 
 
 class TextNormalizer(

@@ -15,6 +15,7 @@ from reviewlens.schema import (
     STAR_WEIGHTS,
     USER_STARS,
 )
+from reviewlens.sources.staging import stage
 
 _TOTAL = "_total"
 
@@ -150,15 +151,26 @@ def attach_profiles(
     rating: str = "overall",
     row_id: str = "reviewID",
 ) -> DataFrame:
-    """Reviews with both profiles; rows without product or reviewer drop out."""
+    """Reviews with both profiles; rows without product or reviewer drop out.
+
+    Profiles meet (id, product, reviewer) alone; the whole row joins them once, by its
+    id. An id that is missing or repeated is an error when the plan runs.
+    """
     products = _star_profile(df, product, rating, product, PRODUCT_STARS)
     users = _star_profile(df, user, rating, user, USER_STARS)
-    joined = _with_lookups(df, df, products, product, users, user, row_id)
+    stars = [*PRODUCT_STARS, *USER_STARS]
+    narrow = df.select(row_id, product, user)
+    found = _with_lookups(narrow, products, product, users, user)
+    once = found.groupBy(row_id).agg(
+        *[F.any_value(c).alias(c) for c in stars], F.count("*").alias("_rows")
+    )
+    one = F.assert_true(
+        (F.col("_rows") == 1) & F.col(row_id).isNotNull(), F.lit(f"{row_id} must be unique")
+    )
+    joined = df.join(once.where(one.isNull()).drop("_rows"), row_id)
     if set(JOINED_REVIEW_COLUMNS + ["label"]) <= set(df.columns):
-        return joined.select(
-            *JOINED_REVIEW_COLUMNS, *PRODUCT_STARS, *USER_STARS, "label"
-        )
-    return joined.select(*df.columns, *PRODUCT_STARS, *USER_STARS)
+        return joined.select(*JOINED_REVIEW_COLUMNS, *stars, "label")
+    return joined.select(*df.columns, *stars)
 
 
 def attach_for_features(
@@ -168,20 +180,24 @@ def attach_for_features(
     user: str,
     rating: str,
     seconds: str,
-    row_id: str,
 ) -> DataFrame:
     """``narrow`` rows of ``df`` with both profiles and the reviewer's rate."""
     products = _star_profile(df, product, rating, product, PRODUCT_STARS)
     users = user_profile_and_rate(df, user, rating, seconds, product)
-    return _with_lookups(df, narrow, products, product, users, user, row_id)
+    return _with_lookups(narrow, products, product, users, user)
+
 
+def _with_lookups(rows, products, product, users, user):
+    """``rows`` joined to the products and to the users.
 
-def _with_lookups(df, rows, products, product, users, user, row_id):
-    """``rows`` of ``df`` joined to the products and to the users."""
-    keyed = df.agg(F.count(product).alias("products"), F.count(user).alias("users"))
+    The rows are narrow and each lookup reads them twice, so they are written to the
+    shared folder first, when this is called.
+    """
+    rows = stage(rows, "narrow")
+    keyed = rows.agg(F.count(product).alias("products"), F.count(user).alias("users"))
     with_products = lookup_join(
-        rows, products, product, _TOTAL, row_id, total=keyed.select("products").scalar()
+        rows, products, product, _TOTAL, total=keyed.select("products").scalar()
     )
     return lookup_join(
-        with_products, users, user, _TOTAL, row_id, total=keyed.select("users").scalar()
+        with_products, users, user, _TOTAL, total=keyed.select("users").scalar()
     )

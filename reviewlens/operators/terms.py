@@ -6,14 +6,19 @@ per (document, term), so that every number can be checked in SQL.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewlens.operators.lookup import lookup_join
 
 
-def term_counts(df: DataFrame, row_id: str, words: Column) -> DataFrame:
+def term_counts(
+    df: DataFrame, row_id: str, words: Column, carry: Sequence[str] = ()
+) -> DataFrame:
     """(id, term, tf): the ``words`` of each row, counted inside the row, no shuffle.
 
+    Columns ``carry`` of the row are repeated in front of each of its terms.
     In the sorted words every term is one run; its length is the distance
     between the ends of runs. Each step is a column of its own, because a
     lambda evaluates what it refers to once per element.
@@ -33,10 +38,10 @@ def term_counts(df: DataFrame, row_id: str, words: Column) -> DataFrame:
         ),
     )
     return (
-        df.select(F.col(row_id).alias("id"), F.sort_array(words).alias("_words"))
-        .select("id", "_words", last.alias("_last"))
-        .select("id", "_words", ends.alias("_ends"))
-        .select("id", F.inline(runs))
+        df.select(F.col(row_id).alias("id"), *carry, F.sort_array(words).alias("_words"))
+        .select("id", *carry, "_words", last.alias("_last"))
+        .select("id", *carry, "_words", ends.alias("_ends"))
+        .select("id", *carry, F.inline(runs))
     )
 
 
@@ -46,17 +51,21 @@ def document_frequency(counts: DataFrame) -> DataFrame:
 
 
 def tfidf_terms(
-    df: DataFrame, row_id: str, words: Column, counts: DataFrame | None = None
+    df: DataFrame,
+    row_id: str,
+    words: Column,
+    counts: DataFrame | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """(id, term, tf, df, weight) with weight = tf * ln((N + 1) / (df + 1)).
+    """(id, *carry, term, tf, df, weight) with weight = tf * ln((N + 1) / (df + 1)).
 
     N counts all rows of ``df``, so filter missing texts out before. Pass staged
     ``counts`` to tokenise once instead of twice.
     """
     if counts is None:
-        counts = term_counts(df, row_id, words)
+        counts = term_counts(df, row_id, words, carry)
     documents = df.agg(F.count("*")).scalar()
     frequency = document_frequency(counts).select("term", "df", F.col("df").alias("_n"))
-    joined = lookup_join(counts, frequency, "term", "_n", "id")
+    joined = lookup_join(counts, frequency, "term", "_n")
     weight = F.col("tf") * F.log((documents + 1) / (F.col("df") + 1))
-    return joined.select("id", "term", "tf", "df", weight.alias("weight"))
+    return joined.select("id", *carry, "term", "tf", "df", weight.alias("weight"))

@@ -34,11 +34,11 @@ def text_shape(df: DataFrame, text: str) -> DataFrame:
     )
 
 
-def feature_table(reviews: DataFrame) -> DataFrame:
-    """The 17 numeric features of each review with product and reviewer.
+def _features(reviews: DataFrame) -> DataFrame:
+    """The feature table with the review id in its own type.
 
     Text is reduced to two numbers before any exchange, so only narrow rows are
-    joined. The reviews are read three times, each time with the columns needed.
+    written and joined.
     """
     narrow = text_shape(reviews, "reviewText").select(
         "reviewID",
@@ -51,13 +51,17 @@ def feature_table(reviews: DataFrame) -> DataFrame:
         "label",
     )
     joined = attach_for_features(
-        reviews, narrow, "asin", "reviewerID", "overall", "unixReviewTime", "reviewID"
+        reviews, narrow, "asin", "reviewerID", "overall", "unixReviewTime"
     )
     names = dict(zip(FEATURE_COLUMNS[5:15], PRODUCT_STARS + USER_STARS))
     names["userReviewRate"] = "reviewRate"
-    return joined.select(
-        *[F.col(names.get(c, c)).cast("double").alias(c) for c in FEATURE_COLUMNS]
-    )
+    values = [F.col(names.get(c, c)).cast("double").alias(c) for c in FEATURE_COLUMNS[1:]]
+    return joined.select("reviewID", *values)
+
+
+def feature_table(reviews: DataFrame) -> DataFrame:
+    """The 17 numeric features of each review with product and reviewer, all double."""
+    return _features(reviews).withColumn("reviewID", F.col("reviewID").cast("double"))
 
 
 def features_as_text(
@@ -89,20 +93,18 @@ def text_frames(
     """(reviewID, label, text, featureText) of reviews that have a text.
 
     ``text`` is the normalised text; the text-and-features document of a review
-    is featureText, a blank and text.
+    is featureText, a blank and text. ``featureText`` is null where a number of the
+    review is missing. The id joins both parts, so it must be there and unique.
     """
+    check_unique(reviews, "reviewID")
     with_text = reviews.where(F.col("reviewText").isNotNull())
     texts = normalize_text(
-        with_text.select("reviewID", "reviewText"),
-        "reviewText", "reviewID", "text", lemmas, stop,
+        with_text.select("reviewID", "reviewText"), "reviewText", "text", lemmas, stop
     ).select("reviewID", "text")
     features = features_as_text(
-        feature_table(with_text).withColumn("reviewID", F.col("reviewID").cast("bigint")),
-        include_review_rate=include_review_rate,
-    )
-    return texts.withColumn("reviewID", F.col("reviewID").cast("bigint")).join(
-        features, "reviewID"
+        _features(with_text), include_review_rate=include_review_rate
     )
+    return texts.join(features, "reviewID")
 
 
 def text_only_frame(frames: DataFrame) -> DataFrame:
@@ -111,7 +113,11 @@ def text_only_frame(frames: DataFrame) -> DataFrame:
 
 
 def text_features_frame(frames: DataFrame) -> DataFrame:
-    """(reviewID, label, text) with the feature words in front of the text."""
+    """(reviewID, label, text) with the feature words in front of the text.
+
+    Reviews with a missing number are left out; `null_report` counts them.
+    """
+    frames = frames.where(F.col("featureText").isNotNull())
     text = F.concat("featureText", F.lit(" "), "text")
     return frames.select("reviewID", "label", text.alias("text"))
 
@@ -190,23 +196,27 @@ def model_frames(
 
     Normalised text, joins and hashing are computed once and written to the
     shared folder as sparse counts; fits and evaluations read those. Both frames
-    have the same test rows unless ``independent_splits`` is set.
+    have the same test rows unless ``independent_splits`` is set. Reviews with a
+    missing number are in the first frame only.
     """
-    check_unique(reviews, "reviewID")
     frames = text_frames(reviews, **options)
+    whole = F.col("featureText").isNotNull()
     both = frames.select(
-        "reviewID", "label", "text",
-        F.concat("featureText", F.lit(" "), "text").alias("allText"),
+        "reviewID", "label", "text", whole.alias("_whole"),
+        F.concat(F.coalesce("featureText", F.lit("")), F.lit(" "), "text").alias("allText"),
     )
     counts = hashed_counts(hashed_counts(both, "text", "_text"), "allText", "_all")
-    staged = stage(counts.select("reviewID", "label", "_text", "_all"), "hashed")
+    staged = stage(counts.select("reviewID", "label", "_whole", "_text", "_all"), "hashed")
     return [
         weighted_frame(
-            staged.select("reviewID", "label", F.col(column).alias("rawFeatures")),
+            rows.select("reviewID", "label", F.col(column).alias("rawFeatures")),
             "reviewID", dataset, fit_on, folds,
             dataset if independent_splits else None,
         )
-        for dataset, column in (("text_only", "_text"), ("text_features", "_all"))
+        for dataset, column, rows in (
+            ("text_only", "_text", staged),
+            ("text_features", "_all", staged.where("_whole")),
+        )
     ]
 
 

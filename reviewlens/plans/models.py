@@ -197,3 +197,13 @@ def kmeans_cv(frames: Sequence[ModelFrame], **options) -> DataFrame:
 
 def rf_cv(frames: Sequence[ModelFrame], **options) -> DataFrame:
     return cross_validate("random_forest", frames, **options)
+
+
+def run_all(frames: Sequence[ModelFrame], path: str | None = None) -> DataFrame:
+    """The report of all eight runs, written to ``path`` if given.
+
+    Five learners as they are, and three chosen by cross-validation over full grids.
+    """
+    runs = [train_and_evaluate(name, frames) for name in LEARNERS]
+    runs += [cross_validate(name, frames) for name in GRIDS]
+    return metrics_report(runs, path)

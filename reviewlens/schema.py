@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 # The labelled-review file has these twelve columns in this order.
 REVIEW_SCHEMA = T.StructType(
     [
-        T.StructField("reviewID", T.IntegerType()),
+        T.StructField("reviewID", T.LongType()),
         T.StructField("asin", T.StringType()),
         T.StructField("helpfulPos", T.IntegerType()),
         T.StructField("helpfulNeg", T.IntegerType()),

@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlens.operators.indexing import running_start
-from reviewlens.operators.lookup import lookup_join
 from reviewlens.schema import EXPECTED_FILES
 from reviewlens.sources.staging import stage
 
@@ -25,8 +24,12 @@ def read_line_corpus(
 
     Ids are ``prefix`` and a running number over all lines, by file path and
     then by line. A file piece is read by one task from top to bottom, so the
-    lines are tagged while scanning and only one row per piece is sorted; the
-    text itself needs no sort. ``whole_text`` makes every file one row.
+    lines are tagged while scanning and written once, when this is called; only one
+    row per piece is sorted. ``whole_text`` makes every file one row.
+
+    The lines then meet one row per scan task, which holds where each of the task's
+    pieces begins, by the task's number. Where these rows are too many to be
+    broadcast, the lines are dealt by that number, in shares as even as the tasks were.
     """
     tagged = stage(
         spark.read.text(path, wholetext=whole_text).select(
@@ -41,8 +44,13 @@ def read_line_corpus(
         F.count("*").alias("_lines"), F.min(_LINE).alias("_first")
     )
     starts = running_start(pieces, [_FILE, _BLOCK], "_lines", "_start")
-    placed = lookup_join(tagged, starts, [_FILE, _BLOCK], "_lines", _LINE)
-    number = F.col("_start") + F.col(_LINE) - F.col("_first")
+    # monotonically_increasing_id keeps the task's number above 33 bits.
+    task = F.shiftright(F.col("_first"), 33).cast("int").alias("_task")
+    begin = F.struct("_first", (F.col("_start") - F.col("_first")).alias("_shift"))
+    tasks = starts.groupBy(task).agg(F.array_sort(F.collect_list(begin)).alias("_begins"))
+    placed = tagged.withColumn("_task", F.shiftright(F.col(_LINE), 33).cast("int")).join(tasks, "_task")
+    own = F.element_at(F.filter("_begins", lambda b: b["_first"] <= F.col(_LINE)), -1)
+    number = own["_shift"] + F.col(_LINE)
     return placed.select(
         F.concat(F.lit(prefix), number.cast("string")).alias("id"),
         "value",
@@ -56,15 +64,21 @@ def union_corpora(deceptive: DataFrame, truthful: DataFrame) -> DataFrame:
 
 
 def class_files(spark: SparkSession, root: str) -> DataFrame:
-    """(class, file): files of ``<root>/<class>/``; contents are not read.
+    """(class, file): entries of ``<root>/<class>/``, empty files as well.
 
-    An empty file is no part of any scan and hence not listed.
+    The driver lists names, as it does before any scan; contents are not read.
     """
-    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/*")
-    return files.select(
-        F.element_at(F.split("path", "/"), -2).alias("class"),
-        F.col("path").alias("file"),
-    )
+    top = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    entries = [
+        (folder.getPath().getName(), entry.getPath().toString())
+        for folder in files.listStatus(top)
+        if folder.isDirectory()
+        for entry in files.listStatus(folder.getPath())
+        # Marks that Spark leaves beside its output are no part of the corpus.
+        if not entry.getPath().getName().startswith(("_", "."))
+    ]
+    return spark.createDataFrame(entries, "class string, file string")
 
 
 def corpus_completeness(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from conftest import rows
+from reviewlens.operators import profiles
 from reviewlens.operators.metrics import METRICS
 from reviewlens.plans import features, models, scoring
 from reviewlens.schema import FEATURE_COLUMNS
@@ -149,3 +150,33 @@ def test_saved_model_labels_raw_text_like_the_fitted_one(spark, sf, lines, tmp_p
     assert loaded.columns == ["doc_id", "text", "label"]
     assert rows(loaded) == rows(fresh)
     assert loaded.count() == docs.count()
+
+
+def test_large_ids_keep_their_rows(spark, sf):
+    """Ids above 2^53 do not fit a double; the frames join on the id itself."""
+    reviews = fx.reviews(spark, sf)
+    large = reviews.withColumn("reviewID", F.col("reviewID") + 2**53 + 1)
+    frames = features.text_frames(large)
+    for frame in (features.text_only_frame, features.text_features_frame):
+        found = frame(frames)
+        assert found.count() == found.distinct().count() == reviews.count()
+        assert found.join(large, "reviewID", "left_anti").isEmpty()
+
+
+def test_missing_numbers_leave_the_second_frame_only(spark, sf):
+    reviews = fx.reviews(spark, sf)
+    gap = F.when(F.col("reviewID") % 5 > 0, F.col("helpfulPos")).alias("helpfulPos")
+    holes = reviews.withColumn("helpfulPos", gap)
+    missing = holes.where("helpfulPos is null").count()
+    first, second = features.model_frames(holes)
+    assert missing > 0 and first.rows.count() == reviews.count()
+    assert second.rows.count() == reviews.count() - missing
+
+
+def test_repeated_ids_are_refused(spark, sf):
+    reviews = fx.reviews(spark, sf)
+    twice = reviews.unionByName(reviews.limit(1))
+    with pytest.raises(ValueError, match="unique"):
+        features.text_frames(twice)
+    with pytest.raises(Exception, match="unique"):
+        profiles.attach_profiles(twice).collect()

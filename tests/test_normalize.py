@@ -26,32 +26,38 @@ def lemmas(spark):
 EXPECTED = {1: "run run car cars", 2: "", 3: "", 4: None, 5: "", 6: ("run run " * 300).strip()}
 
 
-def test_inline_lemmas(spark):
-    got = normalize_text(texts(spark), "t", "k", "n", lemmas(spark))
+def test_lemmas(spark):
+    got = normalize_text(texts(spark), "t", "n", lemmas(spark))
     assert {r["k"]: r["n"] for r in got.collect()} == EXPECTED
-    plan = got._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join" not in plan and "from_json" not in plan
+    assert got.columns == ["k", "t", "n"]
 
 
-def test_joined_lemmas(spark):
-    got = normalize_text(texts(spark), "t", "k", "n", lemmas(spark), max_inline=2)
-    assert {r["k"]: r["n"] for r in got.collect()} == EXPECTED
-    assert "Join" in got._jdf.queryExecution().optimizedPlan().toString()
+def test_rows_with_the_same_id_or_none_stay_apart(spark):
+    data = [(1, "Cars ran"), (1, "was there"), (None, "ran"), (None, None), (1, "Cars ran")]
+    df = spark.createDataFrame(data, "k int, t string").repartition(2)
+    got = normalize_text(df, "t", "n", lemmas(spark)).select("k", "n")
+    assert rows(got) == rows(
+        spark.createDataFrame(
+            [(1, "car run"), (1, "there"), (None, "run"), (None, None), (1, "car run")],
+            "k int, n string",
+        )
+    )
 
 
-def test_both_routes_agree_on_documents(spark, sf):
+def test_result_does_not_depend_on_other_lemmas(spark, sf):
     docs = fx.documents(spark, sf).select("doc_id", "text")
     table = fx.lemma_table(spark, sf)
-    inline = normalize_text(docs, "text", "doc_id", lemmas=table)
-    joined = normalize_text(docs, "text", "doc_id", lemmas=table, max_inline=0)
-    columns = ["doc_id", "normalized"]
-    assert rows(inline.select(columns)) == rows(joined.select(columns))
+    more = table.unionByName(
+        spark.range(250_000).selectExpr("concat('zz', id, 'zz') as surface", "'y' as lemma")
+    )
+    few, many = (normalize_text(docs, "text", lemmas=t) for t in (table, more))
+    assert rows(few) == rows(many)
 
 
 def test_empty_lemma_table_changes_nothing(spark):
     empty = lemmas(spark).where("false")
-    plain = normalize_text(texts(spark), "t", "k", "n")
-    assert rows(normalize_text(texts(spark), "t", "k", "n", empty)) == rows(plain)
+    plain = normalize_text(texts(spark), "t", "n")
+    assert rows(normalize_text(texts(spark), "t", "n", empty)) == rows(plain)
 
 
 def test_stage_is_saved_with_its_stop_words(spark, tmp_path):
@@ -59,4 +65,4 @@ def test_stage_is_saved_with_its_stop_words(spark, tmp_path):
     stage.write().overwrite().save(str(tmp_path / "s"))
     loaded = TextNormalizer.load(str(tmp_path / "s"))
     df = texts(spark)
-    assert rows(loaded.transform(df)) == rows(normalize_text(df, "t", "k", "n", stop=["run"]))
+    assert rows(loaded.transform(df)) == rows(normalize_text(df, "t", "n", stop=["run"]))

@@ -11,7 +11,12 @@ from reviewlens.sources.corpus import (
     read_line_corpus,
     union_corpora,
 )
-from reviewlens.sources.reviews import null_report, read_labeled_reviews, write_labeled_reviews
+from reviewlens.sources.reviews import (
+    bad_records,
+    null_report,
+    read_labeled_reviews,
+    write_labeled_reviews,
+)
 from reviewlens.sources.staging import shared_folder, stage
 
 TEXTS = [
@@ -32,18 +37,48 @@ def test_csv_round_trip(spark, tmp_path):
     ]
     df = spark.createDataFrame(data, REVIEW_SCHEMA)
     write_labeled_reviews(df, str(tmp_path), "music")
-    back = read_labeled_reviews(spark, str(tmp_path), "music")
+    back = read_labeled_reviews(spark, str(tmp_path), "music", multi_line=True)
     assert back.schema == REVIEW_SCHEMA
     assert rows(back) == rows(df)
 
 
 def test_missing_columns_are_written_empty(spark, tmp_path):
     write_labeled_reviews(spark.range(2).select(F.col("id").alias("reviewID")), str(tmp_path), "x")
-    back = read_labeled_reviews(spark, str(tmp_path), "x", multi_line=False)
+    back = read_labeled_reviews(spark, str(tmp_path), "x")
     assert back.columns == REVIEW_SCHEMA.names
     assert rows(back.select("reviewID", "asin")) == [(0, None), (1, None)]
 
 
+HEADER = ",".join(REVIEW_SCHEMA.names)
+GOOD = "3000000000,p,1,2,5.0,text,,u,,s,1356998400,1.0"
+
+
+def write_csv(tmp_path, *lines):
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "a.csv").write_text("\n".join(lines) + "\n")
+
+
+def test_ids_of_64_bits(spark, tmp_path):
+    write_csv(tmp_path, HEADER, GOOD)
+    assert read_labeled_reviews(spark, str(tmp_path), "x").first()["reviewID"] == 3_000_000_000
+
+
+def test_bad_records_are_kept_and_counted(spark, tmp_path):
+    few, word = "1,p,1,2", GOOD.replace("5.0", "five")
+    write_csv(tmp_path, HEADER, GOOD, few, word)
+    rows_ = read_labeled_reviews(spark, str(tmp_path), "x", keep_bad_record=True)
+    assert {r["_bad_record"] for r in rows_.collect()} == {None, few, word}
+    assert tuple(bad_records(spark, str(tmp_path), "x").first()) == (3, 2, 23)
+
+
+def test_header_is_checked(spark, tmp_path):
+    names = REVIEW_SCHEMA.names
+    write_csv(tmp_path, ",".join([names[1], names[0], *names[2:]]), GOOD)
+    with pytest.raises(Exception, match="header"):
+        read_labeled_reviews(spark, str(tmp_path), "x").collect()
+    assert read_labeled_reviews(spark, str(tmp_path), "x", check_header=False).count() == 1
+
+
 def test_null_report(spark):
     df = spark.createDataFrame([("a", None), (None, None)], "k string, t string")
     assert rows(null_report(df, ["k", "t"])) == [("k", 1), ("t", 2)]
@@ -87,12 +122,14 @@ def test_lines_of_files_read_in_pieces(spark, tmp_path):
     assert [r["value"] for r in ordered] == lines
 
 
-def test_completeness_counts_files_with_content(spark, tmp_path):
+def test_completeness_counts_every_file(spark, tmp_path):
+    """An empty file is a file; marks of a finished write are none."""
     make_corpus(tmp_path)
+    (tmp_path / "d" / "_SUCCESS").write_text("")
     files = class_files(spark, str(tmp_path))
-    assert "content" not in files._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0]
-    assert rows(corpus_completeness(files, {"d": 2, "t": 2, "other": 1})) == [
-        ("d", 2, 2, True),
+    assert files.where("file like '%/d/1.txt'").count() == 1
+    assert rows(corpus_completeness(files, {"d": 3, "t": 2, "other": 1})) == [
+        ("d", 3, 3, True),
         ("other", 0, 1, False),
         ("t", 1, 2, False),
     ]
