@@ -350,6 +350,10 @@ ORACLES: dict[str, str] = {
         select doc_id, lang, case when {_IN_TRAIN.format(key='doc_id')} then 'train' else 'test' end
           as part from documents""",
     "cross_validation_folds": f"select doc_id, {_FOLD} as fold from labels",
+    "stratified_folds": """
+        select doc_id, quality, cast((row_number() over (partition by quality
+          order by md5('fold:' || cast(doc_id as varchar)), doc_id) - 1) % 7 as int) as fold
+        from labels""",
     "nb_aggregates": f"""
         {_with(_REVIEWS, _TEXTS, _COUNTS, _WEIGHTS, _BAYES)}
         select label, term, round(weight_sum, 6) as weight_sum, round(theta, 6) as theta from theta""",

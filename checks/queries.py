@@ -11,6 +11,7 @@ from checks import fixtures as fx
 from reviewlens.functions.split import fold_number, random_split, split_part
 from reviewlens.functions.text import normalized_tokens
 from reviewlens.operators import bayes, clusters, indexing, metrics, profiles, terms
+from reviewlens.operators.folds import stratified_folds
 from reviewlens.operators.normalize import normalize_text
 from reviewlens.plans import features, models, scoring
 from reviewlens.sources import corpus, reviews as review_files
@@ -266,6 +267,11 @@ def cross_validation_folds(spark, sf):
     return labels.select("doc_id", fold_number("doc_id", features.FOLDS).alias("fold"))
 
 
+def stratified_folds_labels(spark, sf):
+    labels = fx.table(spark, sf, "labels").select("doc_id", "quality")
+    return stratified_folds(labels, "doc_id", "quality", features.FOLDS)
+
+
 # --- naive Bayes in relational form, metrics, clusters ---------------------
 
 
@@ -461,6 +467,7 @@ QUERIES: dict[str, Query] = {
     "tfidf_terms": tfidf_terms,
     "random_split": random_split_documents,
     "cross_validation_folds": cross_validation_folds,
+    "stratified_folds": stratified_folds_labels,
     "nb_aggregates": nb_aggregates,
     "nb_priors": nb_priors,
     "nb_predict": nb_predict,

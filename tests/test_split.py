@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from reviewlens.operators.folds import stratified_folds
 from reviewlens.functions.split import fold_number, random_split, split_part
 
 
@@ -50,3 +51,11 @@ def test_folds_are_balanced_and_independent_of_the_split(spark):
         share = counts[f, 0] / (counts[f, 0] + counts[f, 1])
         assert abs(share - 0.6) < 0.05
     assert df.where(F.col("f").isNull()).count() == 0
+
+
+def test_stratified_folds_hold_every_class(spark):
+    rows_ = [(i, float(i % 10 == 0)) for i in range(200)] + [(900, None)]
+    df = spark.createDataFrame(rows_, "k int, y double")
+    found = stratified_folds(df, "k", "y", 7).groupBy("y", "fold").count().collect()
+    assert len(found) == 14 and {r["count"] for r in found if r["y"]} == {2, 3}
+    assert sum(r["count"] for r in found) == 200
