@@ -63,9 +63,7 @@ def test_held_out_accuracy(spark):
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     scored = toxicity.score_toxicity(docs, toxicity.fit(docs, labels))
     assert _held_out_accuracy(scored, labels, "toxic") >= 0.93
-    held = quality.held_out(docs.doc_id)
-    model = quality.fit(quality.training_rows(docs, labels, "quality", held), label="label")
-    scored = quality.score_quality(docs, model)
+    scored = quality.classify_quality(docs, labels)
     assert _held_out_accuracy(scored, labels, "quality") >= 0.95
     row = scored.where("doc_id = 17").first()
     assert row.held_out == (zlib.crc32(b"17") % 4 == 2)
@@ -73,9 +71,9 @@ def test_held_out_accuracy(spark):
 
 def test_discriminant_equals_the_closed_form(spark, sf):
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
-    rows = quality.training_rows(docs, labels, "quality", quality.held_out(docs.doc_id)).collect()
-    model = quality.fit(spark.createDataFrame(rows, "text string, label int"), label="label")
-    x = np.array([quality.statistics(r.text) for r in rows])
+    training = quality.training_rows(quality.described(docs), labels)
+    model, rows = quality.fit(training), training.collect()
+    x = np.array([r.x for r in rows])
     y = np.array([r.label for r in rows])
     ridge = quality.RIDGE * np.maximum(x.var(0), 1e-6)
     density = []
