@@ -361,19 +361,27 @@ def training_sample(
     most: tuple[int, int] = SAMPLE, most_chars: int = SAMPLE_CHARS,
 ) -> tuple[list[str], list[int]]:
     """Texts and labels, at most ``most`` of class 0 and of class 1, to the driver."""
-    other = unused(docs, "label_id")
-    known = labels.where(F.col(label).isin(0, 1)).select(
-        F.col("doc_id").alias(other), F.col(label).cast("int").alias("label")
+    known = (
+        labels.where(F.col(label).isin(0, 1))
+        .groupBy(F.col("doc_id").alias("label_id"))
+        .agg(F.max(label).cast("int").alias("label"))
     )
-    usable = docs.where(~held_out(F.col("doc_id")) & F.col("text").isNotNull()).where(
-        F.length("text") <= most_chars
-    ).select("doc_id", "text")
-    rows = usable.join(known, F.col("doc_id") == F.col(other)).select(
-        F.xxhash64("doc_id").alias("draw"), "text", "label"
+    usable = docs.where(F.length("text") <= most_chars).select("doc_id", "text")
+    # Ids alone meet the labels; the texts of those chosen, a bounded number, come after.
+    drawn = (
+        usable.where(~held_out(F.col("doc_id"))).select("doc_id").distinct()
+        .join(known, F.col("doc_id") == F.col("label_id"))
+        .select("label_id", "label", F.xxhash64("label_id").alias("draw"))
     )
-    found = []
-    for k in (0, 1):
-        found += rows.where(F.col("label") == k).orderBy("draw", "text").limit(most[k]).collect()
+    first = [
+        drawn.where(F.col("label") == k).orderBy("draw", "label_id").limit(most[k]) for k in (0, 1)
+    ]
+    chosen = first[0].unionByName(first[1])
+    texts = (
+        usable.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
+        .groupBy("label", "draw", "label_id").agg(F.min("text").alias("text"))
+    )
+    found = sorted(texts.collect(), key=lambda r: (r["label"], r["draw"], r["label_id"]))
     return [r["text"] for r in found], [r["label"] for r in found]
 
 
