@@ -13,6 +13,8 @@ def components(edges: DataFrame) -> DataFrame:
     Each round links the neighbours of a node to the smallest of them, first the larger
     ones, then the smaller ones; rounds grow with the logarithm of the component size.
     Every round is written to the shared folder; one number a round reaches the driver.
+    The least neighbours are written too: Spark splits the rows of a node with very many
+    neighbours only in a join of two tables that it deals for that join.
     """
     known = edges.where("a <> b")
     links = stage(
@@ -21,14 +23,14 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("low"))
+        least = stage(both.groupBy("a").agg(F.least("a", F.min("b")).alias("low")), "least")
         larger = (
             both.where("b > a").join(least, "a")
             .select(F.col("b").alias("a"), F.col("low").alias("b"))
             .distinct()
         )
         larger = stage(larger, "larger")
-        low = larger.groupBy("a").agg(F.min("b").alias("low"))
+        low = stage(larger.groupBy("a").agg(F.min("b").alias("low")), "least")
         smaller = larger.join(low, "a").select(
             F.explode(
                 F.array(

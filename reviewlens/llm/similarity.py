@@ -202,7 +202,8 @@ def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
         members.join(sizes.select("root", blocks.alias("blocks")), "root")
         .select("root", "set_id", "rep", "blocks", own.alias("own"))
     )
-    texts = docs.join(placed, F.col("doc_id") == F.col("rep")).select(
+    # Members grow with the documents, so they are joined by key at every size.
+    texts = docs.join(placed.hint("merge"), F.col("doc_id") == F.col("rep")).select(
         "root", "set_id", "rep", "own", "blocks", "text"
     )
     # A block meets itself and every other block of its cluster.
@@ -282,4 +283,4 @@ def drop_similar(
     gone = unused(docs, "similar_id")
     found = similar_components(docs, key, text, n, percent)
     leaving = found.where("component_id <> doc_id").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(leaving, F.col(key) == F.col(gone), "left_anti")
+    return docs.join(leaving.hint("merge"), F.col(key) == F.col(gone), "left_anti")
