@@ -21,11 +21,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of every component of similar texts.
-
-    The library's five-word shingles and a similarity of 0.8 are used here.
-    """
-    return similarity.drop_similar(docs, n=5, percent=80)
+    """The first document of every component of similar texts, as op8 defines them."""
+    return similarity.drop_similar(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -92,8 +92,12 @@ def equal_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     groups = named.groupBy("n", "name").agg(
         F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")
     )
-    return named.join(groups, ["n", "name"]).select(
-        "doc_id", "digest", "copies", "keep_id", "group_size"
+    # Written, so that a join by group can be split where a group is large.
+    several = stage(groups.where("group_size > 1"), "several")
+    return named.join(several, ["n", "name"], "left").select(
+        "doc_id", "digest", "copies",
+        F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).alias("group_size"),
     )
 
 
@@ -119,8 +123,9 @@ def drop_exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "tex
     )
     marked = docs.withColumn(mark, digest(text))
     on = F.col(key).eqNullSafe(F.col(same)) & (F.col(mark) == F.col(f"{mark}_other"))
-    kept = marked.join(leaving, on, "left_anti")
+    # What leaves grows with the documents, so it is joined by key at every size.
+    kept = marked.join(leaving.hint("merge"), on, "left_anti")
     if not leaving.where(F.col(number) > 1).isEmpty():
-        repeated = marked.join(leaving.where(F.col(number) > 1), on, "left_semi")
+        repeated = marked.join(leaving.where(F.col(number) > 1).hint("merge"), on, "left_semi")
         kept = kept.unionByName(repeated.dropDuplicates([key, mark]))
     return kept.drop(mark)

@@ -149,7 +149,7 @@ def mixed_rows(
 
     def meet(part: DataFrame) -> DataFrame:
         on = (tagged[mark] == part["mix_other"]) & tagged[key].eqNullSafe(part["mix_id"])
-        return tagged.join(part, on).select(*tagged.columns, took, size, rows)
+        return tagged.join(part.hint("merge"), on).select(*tagged.columns, took, size, rows)
 
     met = meet(chosen.where(F.col(rows) == 1))
     repeated = chosen.where(F.col(rows) > 1)

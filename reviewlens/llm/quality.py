@@ -22,8 +22,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
-from reviewlens.llm.common import map_texts, narrow, unused
+from reviewlens.llm.common import map_texts, narrow
+from reviewlens.sources.staging import stage
 
 FOLDS, HELD_FOLD = 4, 2
 THRESHOLD = 0.7
@@ -106,23 +108,35 @@ class Discriminant:
         return 1 / (1 + np.exp(-np.clip(density[1] - density[0], -500, 500)))
 
 
-def _moments(rows: DataFrame, label: str) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
+def described(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, held_out, x): the statistics of every whole text, made in one pass."""
+    rows = narrow(docs, key, text).withColumn("held_out", held_out(F.col("doc_id")))
+
+    def make():
+        return lambda texts: [[statistics(t) for t in texts]]
+
+    return map_texts(rows, make, "x array<double>", ("doc_id", "held_out"))
+
+
+def _moments(rows: DataFrame) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
     """label -> (rows, sum of x, sum of x xᵀ), added up inside the tasks first."""
     size = len(STATISTICS)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {k: np.zeros((size + 1, size + 1)) for k in (0, 1)}
         for batch in batches:
-            for text, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                x = np.array([1.0, *statistics(text)])
-                sums[k] += np.outer(x, x)
+            values = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+            x = np.concatenate([np.ones((len(values), 1)), values], 1)
+            labels = batch.column(1).to_numpy(zero_copy_only=False)
+            for k, total in sums.items():
+                total += x[labels == k].T @ x[labels == k]
         flat = [s.ravel().tolist() for s in sums.values()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.int32()), pa.array(flat, pa.list_(pa.float64()))],
             names=["label", "sums"],
         )
 
-    parts = rows.select("text", label).mapInArrow(partial, "label int, sums array<double>")
+    parts = rows.select("x", "label").mapInArrow(partial, "label int, sums array<double>")
     cells = parts.select("label", F.posexplode("sums").alias("cell", "value"))
     # 2 x 256 numbers, whatever the number of rows or tasks.
     summed = cells.groupBy("label", "cell").agg(F.sum("value").alias("value")).collect()
@@ -133,13 +147,9 @@ def _moments(rows: DataFrame, label: str) -> dict[int, tuple[float, np.ndarray,
     return {k: (s[0, 0], s[0, 1:], s[1:, 1:]) for k, s in square.items()}
 
 
-def fit(training: DataFrame, text: str = "text", label: str = "quality") -> Discriminant:
-    """Fit on all rows of ``training`` whose label is 0 or 1."""
-    known = training.where(F.col(label).isin(0, 1)).select(
-        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
-        F.col(label).cast("int").alias("label"),
-    )
-    moments = _moments(known, "label")
+def fit(training: DataFrame) -> Discriminant:
+    """Fit on all rows of ``training`` (x, label) whose label is 0 or 1."""
+    moments = _moments(training.where(F.col("label").isin(0, 1)))
     total = sum(m[0] for m in moments.values())
     if not total:
         return Discriminant([None, None], [None, None], [0.0, 0.0])
@@ -167,27 +177,36 @@ def held_out(key: Column, folds: int = FOLDS, fold: int = HELD_FOLD) -> Column:
     return number % folds == fold
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, held: Column) -> DataFrame:
-    """(text, label) of labelled documents that are not held out; no other column."""
-    label_id = unused(docs, "label_id")
+def training_rows(rows: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
+    """(x, label) of the labelled rows of `described` that are not held out."""
     known = labels.where(F.col(label).isin(0, 1)).select(
-        F.col("doc_id").alias(label_id), F.col(label).alias("label")
+        F.col("doc_id").alias("label_id"), F.col(label).cast("int").alias("label")
     )
-    texts = docs.where(~held).select(
-        F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    )
-    return texts.join(known, F.col("doc_id") == F.col(label_id)).select("text", "label")
+    own = rows.where(~F.col("held_out"))
+    return own.join(known, F.col("doc_id") == F.col("label_id")).select("x", "label")
 
 
-def score_quality(docs: DataFrame, model: Discriminant, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row, from its text alone."""
+def score_rows(rows: DataFrame, model: Discriminant, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every row of `described`."""
+    fields = T.StructType.fromDDL("score double, predicted int")
+    schema = T.StructType([rows.schema["doc_id"], rows.schema["held_out"], *fields])
+    names, size = schema.names, len(STATISTICS)
 
-    def make():
-        def each(texts: list[str]):
-            scores = model.score(np.array([statistics(t) for t in texts]).reshape(len(texts), -1))
-            return [scores.tolist(), (scores >= threshold).astype(int).tolist()]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(2).flatten().to_numpy(zero_copy_only=False)
+            scores = model.score(values.reshape(-1, size))
+            columns = [pa.array(scores), pa.array((scores >= threshold).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=names)
 
-        return each
+    return rows.select("doc_id", "held_out", "x").mapInArrow(run, schema)
 
-    rows = narrow(docs, "doc_id", "text").withColumn("held_out", held_out(F.col("doc_id")))
-    return map_texts(rows, make, "score double, predicted int", ("doc_id", "held_out"))
+
+def classify_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every row of ``docs``.
+
+    The texts are read once: their statistics are written to the shared folder, and
+    fitting and scoring read those.
+    """
+    rows = stage(described(docs), "statistics")
+    return score_rows(rows, fit(training_rows(rows, labels, label)))

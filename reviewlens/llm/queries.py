@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from reviewlens.llm import (
     bpe,
@@ -69,10 +69,7 @@ def op8_jaccard_join(spark, sf):
 
 
 def op9_quality_classifier(spark, sf):
-    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
-    held = quality.held_out(F.col("doc_id"))
-    model = quality.fit(quality.training_rows(docs, labels, "quality", held), label="label")
-    return quality.score_quality(docs, model)
+    return quality.classify_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
 def op10_quality_rules(spark, sf):

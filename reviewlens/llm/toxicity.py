@@ -45,12 +45,11 @@ def words_of(text: str) -> list[str]:
     return data.decode("utf-8", "surrogatepass").split()
 
 
-def letter_groups(word: str) -> set[str]:
+def letter_groups(word: str) -> list[str]:
     """Groups of four letters, with marks for the word's ends, and its first five letters."""
     marked = f"^{word}$"
-    groups = {marked[i : i + GROUP] for i in range(max(1, len(marked) - GROUP + 1))}
-    groups.add(marked[: GROUP + 2])
-    return groups
+    groups = [marked[i : i + GROUP] for i in range(max(1, len(marked) - GROUP + 1))]
+    return list(dict.fromkeys([*groups, marked[: GROUP + 2]]))
 
 
 def windows(size: int) -> range:
@@ -183,10 +182,11 @@ def train(texts: list[str], labels: list[int], steps: int = STEPS, seed: int = S
     if len(set(labels)) < 2:
         return Network({}, {}, constant=float(wanted.mean()) if len(wanted) else 0.0)
     rng = np.random.default_rng(seed)
-    same: dict[str, str] = {}  # one object per distinct word
+    same: dict[str, str] = {}  # one object per distinct word, one per letter group
+    same_group: dict[str, str] = {}
     words = [[same.setdefault(w, w) for w in words_of(t)] for t in texts]
     word_odds = _log_odds(map(set, words), wanted, MIN_WORD_DOCS)
-    memo = {w: letter_groups(w) for w in same}
+    memo = {w: tuple(same_group.setdefault(g, g) for g in letter_groups(w)) for w in same}
     grouped = (set().union(*(memo[x] for x in set(w))) for w in words)
     group_odds = _log_odds(grouped, wanted, MIN_GROUP_DOCS)
     net = Network(

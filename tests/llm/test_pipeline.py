@@ -22,7 +22,7 @@ def test_stages_do_what_they_say(spark, sf):
             assert len(seen) == len(now) == len({re.sub(r"[ \t-\r]+", " ", t) for t in left.values()})
         if name == "n-gram Jaccard join":
             ids = sorted(left)
-            roots, _ = brute([left[i] for i in ids], 5, 80)
+            roots, _ = brute([left[i] for i in ids], 3, 90)
             assert sorted(now) == [i for at, i in enumerate(ids) if roots[at] == at]
         left = now
     mixed = stage(pipeline.mixed(spark, docs, sf), "stage")

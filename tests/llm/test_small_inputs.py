@@ -31,9 +31,7 @@ OPERATORS = {
     "toxicity": lambda d: toxicity.score_toxicity(d, toxicity.fit(d, _labels(d))),
     "sharding": lambda d: sharding.assign_shards(d, [1.0, 2.0, 0.0]),
     "similarity": similarity.similar_components,
-    "quality": lambda d: quality.score_quality(
-        d, quality.fit(quality.training_rows(d, _labels(d), "quality", quality.held_out(d.doc_id)), label="label")
-    ),
+    "quality": lambda d: quality.classify_quality(d, _labels(d)),
     "rules": rules.compression_rules,
 }
 ROW_OPERATORS = {
