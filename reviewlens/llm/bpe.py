@@ -25,7 +25,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from reviewlens.llm.common import map_texts, narrow
+from reviewlens.llm.common import map_texts, narrow, shared_values
 
 FIELDS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
@@ -216,10 +216,10 @@ def encode_documents(
     docs: DataFrame, path: str, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(doc_id, ids): token numbers of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(path))
+    shared = shared_values(docs.sparkSession, load_vocabulary(path))
 
     def make():
-        encoder = Encoder(shared.value)
+        encoder = Encoder(Vocabulary(**shared.value))
         return lambda texts: [[np.frombuffer(x, "<u4") for x in encoder.encode(texts)]]
 
     return map_texts(narrow(docs, key, text), make, "ids array<int>")
@@ -227,11 +227,11 @@ def encode_documents(
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, text) from (doc_id, ids)."""
-    shared = encoded.sparkSession.sparkContext.broadcast(load_vocabulary(path))
+    shared = shared_values(encoded.sparkSession, load_vocabulary(path))
     joined = encoded.selectExpr("doc_id", "array_join(ids, ' ') as text")
 
     def make():
-        encoder = Encoder(shared.value)
+        encoder = Encoder(Vocabulary(**shared.value))
         return lambda texts: [
             [encoder.decode(np.array(x.split(), "<u4").tobytes()) for x in texts]
         ]
@@ -244,10 +244,10 @@ def encoding_digests(
     docs: DataFrame, path: str, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(doc_id and FIELDS): digests of the token numbers and of what they decode to."""
-    shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(path))
+    shared = shared_values(docs.sparkSession, load_vocabulary(path))
 
     def make():
-        encoder = Encoder(shared.value)
+        encoder = Encoder(Vocabulary(**shared.value))
 
         def each(texts: list[str]):
             encoded = encoder.encode(texts)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +32,11 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def shared_values(spark: SparkSession, record: object) -> Broadcast:
+    """The fields of a record, broadcast as plain values: a broadcast carries no classes."""
+    return spark.sparkContext.broadcast(vars(record))
+
+
 def map_texts(
     rows: DataFrame,
     make: Callable[[], Callable[[list[str]], Sequence]],

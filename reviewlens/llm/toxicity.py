@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reviewlens.llm.common import map_texts, narrow, unused
+from reviewlens.llm.common import map_texts, narrow, shared_values, unused
 
 FOLDS, HELD_FOLD = 5, 0
 THRESHOLD = 0.5
@@ -387,10 +387,10 @@ def training_sample(
 
 def score_toxicity(docs: DataFrame, net: Network, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row, from its text alone."""
-    shared = docs.sparkSession.sparkContext.broadcast(net)
+    shared = shared_values(docs.sparkSession, net)
 
     def make():
-        scorer = Scorer(shared.value)
+        scorer = Scorer(Network(**shared.value))
 
         def each(texts: list[str]):
             scores = scorer(texts)
@@ -409,11 +409,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network:
 
 def drop_toxic(docs: DataFrame, net: Network, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` that score below ``threshold``, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(net)
+    shared = shared_values(docs.sparkSession, net)
     score = unused(docs, "toxicity_score")
 
     def make():
-        scorer = Scorer(shared.value)
+        scorer = Scorer(Network(**shared.value))
         return lambda texts: [scorer(texts)]
 
     # The text travels beside the row, as no column of the row may be lost or renamed.
