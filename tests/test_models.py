@@ -180,3 +180,12 @@ def test_repeated_ids_are_refused(spark, sf):
         features.text_frames(twice)
     with pytest.raises(Exception, match="unique"):
         profiles.attach_profiles(twice).collect()
+
+
+def test_run_all_is_one_row_per_run_frame_and_metric(frames, monkeypatch, tmp_path):
+    assert len(models.LEARNERS) + len(models.GRIDS) == 8
+    monkeypatch.setattr(models, "LEARNERS", {"naive_bayes": models.LEARNERS["naive_bayes"]})
+    monkeypatch.setattr(models, "GRIDS", {"naive_bayes": {"smoothing": [1.0]}})
+    report = models.run_all(frames, str(tmp_path / "report"))
+    keys = {(r["model"], r["variant"], r["dataset"], r["metric"]) for r in report.collect()}
+    assert report.count() == len(keys) == 2 * 2 * len(METRICS)
