@@ -2,10 +2,11 @@
 
 Every licence template is indexed by word and position. How many documents hold each
 template word is counted over all documents; in a file, the words of a template that
-are rarest in the corpus are looked up, and each posting votes for the place where
-the template would start. A place counts when enough template words stand at their
-relative positions and every mandatory key phrase is there. Base phrases are templates
-too: their rarest word is looked up wherever it stands, and all words must match.
+are rarest in the corpus are looked up, one position more than may be out of place,
+and each posting votes for the place where the template would start. A place counts
+when enough template words stand at their relative positions and every mandatory key
+phrase is there. Base phrases are templates too: their rarest word is looked up wherever
+it stands, and all words must match.
 
 Defined results: null and empty texts have no words, no labels and score 0; rows that
 repeat are rows of their own, also in the document counts; an empty table gives no
@@ -18,7 +19,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import log
+from math import ceil, log
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -79,9 +80,8 @@ TEMPLATES = {
         ("unencumbered software", "public domain"),
     ),
 }
-# Share of template words that must stand in place, and rare words looked up per template.
+# Share of template words that must stand in place.
 MIN_SHARE = 0.75
-RARE_WORDS = 4
 
 _WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -144,6 +144,8 @@ class Scanner:
         self.idf = {
             w: log((1 + documents) / (1 + counts.get(w, 0))) for w in self.postings
         }
+        # Of so many positions whose words a file holds, one is in place wherever MIN_SHARE is.
+        self.enough = [len(t.words) - ceil(MIN_SHARE * len(t.words)) + 1 for t in templates]
         # A base phrase is found at every place through its rarest word.
         self.anchor = [
             max(range(len(t.words)), key=lambda i, t=t: (self.idf[t.words[i]], t.words[i]))
@@ -166,7 +168,7 @@ class Scanner:
                 if template.base:
                     wanted = offset == self.anchor[t]
                 else:
-                    wanted = looked_up[t] < RARE_WORDS
+                    wanted = looked_up[t] < self.enough[t]
                     looked_up[t] += wanted
                 if wanted:
                     starts[t].update(at - offset for at in places[word])

@@ -105,6 +105,17 @@ def test_templates_are_found_where_they_stand(spark):
     assert found[3].labels.split(",") == ["cc-by", "cc-by-nc"] and found[4].labels == ""
 
 
+def test_places_are_found_when_the_rarest_words_stand_elsewhere(spark):
+    mit = licenses.TEMPLATES["mit"][0]
+    moved = ("obtaining", "associated", "documentation", "files")
+    rest = " ".join(w for w in mit.split() if w not in moved)
+    changed = " ".join("other" if w in moved else w for w in mit.split())
+    texts = [f"{changed} {'pad ' * 30} {' '.join(moved)}", rest, rest]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = licenses.scan_licenses(df).where("doc_id = 0").first()
+    assert (found.labels, found.spans, found.score) == ("mit", ["mit:0:20"], 0.8)
+
+
 # --- chat ------------------------------------------------------------------
 
 
