@@ -4,9 +4,9 @@ A text is compressed as a whole and in fixed chunks. Repetitive text compresses
 well and noise too little; what is usual depends on the length, so the limits do too.
 
 Defined results: null and empty texts have zero counts, ratio 1 and fail the base
-rule; a last chunk under half a chunk is judged as part of the whole text only; rows
-that repeat are rows of their own; an empty table gives no rows. Texts of any length
-are processed whole.
+rule; a text of one chunk or less is judged as a whole only, and the last chunk of a
+longer text is its last ``CHUNK_BYTES``; rows that repeat are rows of their own; an
+empty table gives no rows. Texts of any length are processed whole.
 """
 
 from __future__ import annotations
@@ -38,8 +38,8 @@ BANDS = (
     (float("inf"), 1.6, 4.5),
 )
 CHUNK_BAND = (1.3, 3.6)
-# Share of chunks that may lie outside their band.
-MAX_BAD_CHUNKS = 0.25
+# (chunks up to, chunks that may lie outside their band); the last holds for longer texts.
+BAD_CHUNKS = ((3, 0), (float("inf"), 1))
 
 
 def repeated_words(words: list) -> int:
@@ -81,20 +81,20 @@ def band(size: int, bands=BANDS) -> tuple[float, float]:
     return next((low, high) for most, low, high in bands if size <= most)
 
 
-def compression(text: str, compress) -> tuple[float, float, float]:
-    """(ratio of the whole, largest ratio of a chunk, share of chunks out of band)."""
+def compression(text: str, compress) -> tuple[float, float, int, int]:
+    """(ratio of the whole, largest ratio of a chunk, chunks out of band, chunks)."""
     data = text.encode("utf-8", "surrogatepass")
     if not data:
-        return 1.0, 1.0, 0.0
+        return 1.0, 1.0, 0, 1
     ratio = len(data) / len(compress(data))
-    starts = range(0, max(len(data) - CHUNK_BYTES // 2, 0), CHUNK_BYTES)
-    if len(data) <= CHUNK_BYTES or not starts:
-        return ratio, ratio, 0.0
-    chunks = [data[at : at + CHUNK_BYTES] for at in starts]
+    if len(data) <= CHUNK_BYTES:
+        return ratio, ratio, 0, 1
+    last = len(data) - CHUNK_BYTES
+    chunks = [data[at : at + CHUNK_BYTES] for at in (*range(0, last, CHUNK_BYTES), last)]
     ratios = [len(c) / len(compress(c)) for c in chunks]
     low, high = CHUNK_BAND
-    bad = sum(not low <= r <= high for r in ratios) / len(ratios)
-    return ratio, max(ratios), bad
+    bad = sum(not low <= r <= high for r in ratios)
+    return ratio, max(ratios), bad, len(ratios)
 
 
 def compression_rules(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -105,11 +105,12 @@ def compression_rules(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
         def one(whole: str) -> tuple:
             counts = base_counts(whole)
-            ratio, worst, bad = compression(whole, compress)
+            ratio, worst, bad, chunks = compression(whole, compress)
             failed = base_fails(counts[0], counts[4])
             low, high = band(len(whole.encode("utf-8", "surrogatepass")))
-            fits = low <= ratio <= high and bad <= MAX_BAD_CHUNKS
-            return (*counts, failed, fits and not failed, ratio, worst, bad)
+            allowed = next(n for most, n in BAD_CHUNKS if chunks <= most)
+            fits = low <= ratio <= high and bad <= allowed
+            return (*counts, failed, fits and not failed, ratio, worst, bad / chunks)
 
         return lambda texts: list(zip(*map(one, texts)))
 

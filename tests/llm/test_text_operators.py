@@ -175,6 +175,27 @@ def test_compression_bands(spark):
     assert {r.doc_id: r.kept for r in rules.compression_rules(df).collect()} == {0: False, 1: True, 2: False}
 
 
+def test_long_texts_hold_few_bad_chunks_and_the_remainder_counts(spark):
+    rnd, size = random.Random(2), rules.CHUNK_BYTES
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(rnd.choice(letters) for _ in range(rnd.randint(2, 9))) for _ in range(200)]
+    prose = " ".join(rnd.choice(words) for _ in range(12_000))
+    noise = "".join(chr(rnd.randint(33, 126)) for _ in range(size))
+    line = ("the same line again\n" * size)[:size]
+
+    def with_chunks(*bad):
+        return "".join(dict(bad).get(i, prose[i * size : (i + 1) * size]) for i in range(10))
+
+    texts = [
+        with_chunks(), with_chunks((4, noise)), with_chunks((4, noise), (7, noise)),
+        with_chunks((4, line), (7, line)), prose[: size * 3 // 2] + noise[:4048], prose[: 2 * size + 2000],
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r for r in rules.compression_rules(df).collect()}
+    assert [found[i].kept for i in range(6)] == [True, True, False, False, False, True]
+    assert [found[i].bad_chunks for i in (0, 2, 4)] == pytest.approx([0, 0.2, 1 / 3])
+
+
 # --- sharding --------------------------------------------------------------
 
 
