@@ -28,7 +28,8 @@ from reviewlens.llm.common import map_texts, narrow, shared_values, unused
 FOLDS, HELD_FOLD = 5, 0
 THRESHOLD = 0.5
 SAMPLE, SAMPLE_CHARS = (4500, 1500), 6_000
-WINDOW, STRIDE = 32, 24
+# Half a window: passages of up to 17 words stand whole in some window.
+WINDOW, STRIDE = 32, 16
 WORD_DIM, LETTER_DIM, HIDDEN, ATTENTION = 6, 6, 8, 8
 GROUP, MIN_WORD_DOCS, MIN_GROUP_DOCS = 4, 4, 6
 STEPS, BATCH, RATE, SEED = 300, 256, 0.01, 7

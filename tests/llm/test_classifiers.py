@@ -42,6 +42,12 @@ def test_windows_cover_every_word():
         assert covered == set(range(size))
 
 
+def test_short_passages_stand_whole_in_a_window():
+    for size in range(17, 120):
+        for at in range(size - 16):
+            assert any(s <= at and at + 17 <= s + toxicity.WINDOW for s in toxicity.windows(size))
+
+
 def test_scores_do_not_depend_on_neighbours():
     net = toxicity.train(["you idiot fool", "a fine day", "idiot again", "fine words here"] * 5, [1, 0, 1, 0] * 5)
     texts = ["a fine idiot " + "word " * 100, "", "fine", "x " * 3000 + "idiot"]
