@@ -26,8 +26,8 @@ def without_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights; n_chars follows texts that the budget cuts."""
-    taken = mixing.mixed_rows(docs)
+    """Sources at their target weights, in whole texts; n_chars is counted anew."""
+    taken = mixing.mixed_rows(docs, whole_texts=True)
     return taken.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
@@ -44,7 +44,7 @@ STAGES = [
     ("BPE", encoded),
 ]
 
-# A trained network, a sampling cut inside a text and a tokenizer have no SQL form.
+# A trained network, a sampling of whole texts and a tokenizer have no SQL form.
 ORACLE_SQL = None
 
 

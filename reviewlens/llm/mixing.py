@@ -130,9 +130,13 @@ def mixed_rows(
     weights: Sequence[int] = WEIGHTS,
     share: float = SHARE,
     epochs: int = EPOCHS,
+    whole_texts: bool = False,
 ) -> DataFrame:
     """``docs`` as the mix takes them: whole copies, then a cut one up to the budget.
 
+    With ``whole_texts`` the document that meets the budget is taken whole or not at all,
+    whichever leaves its source nearer the target; at equal distance it is taken.
+
     Rows that are equal in every column are taken together.
     """
     mark, took, size, rows, copy = (
@@ -143,6 +147,7 @@ def mixed_rows(
     chosen = stage(
         mixed.groupBy(F.col("doc_id").alias("mix_id"), F.col(mark).alias("mix_other"))
         .agg(F.sum("taken").alias(took), F.max("size").alias(size), F.count("*").alias(rows))
+        .where(2 * F.col(took) >= F.col(size) if whole_texts else F.col(took) > 0)
         .where(F.col(took) > 0),
         "chosen",
     )
@@ -155,6 +160,10 @@ def mixed_rows(
     repeated = chosen.where(F.col(rows) > 1)
     if not repeated.isEmpty():
         met = met.unionByName(meet(repeated).dropDuplicates([key, mark]))
+    if whole_texts:
+        times = F.floor((2 * F.col(took) + F.col(size)) / (2 * F.col(size)))
+        copies = F.explode(F.sequence(F.lit(1), times.cast("int")))
+        return met.select("*", copies.alias(copy)).select(docs.columns)
     words = F.least(F.col(size), F.col(took) - F.col(copy) * F.col(size))
     ends = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"  # after every word
     cut = F.array_join(F.slice(F.split(text, ends), F.lit(1), words.cast("int")), "")

@@ -4,7 +4,7 @@ import re
 from collections import Counter
 
 import corpus_pipeline as pipeline
-from reviewlens.llm import bpe
+from reviewlens.llm import bpe, mixing
 from reviewlens.sources.staging import stage
 from tests.llm.test_similarity import brute
 
@@ -38,3 +38,14 @@ def test_stages_do_what_they_say(spark, sf):
 def test_run_repeats_itself(spark, sf):
     first, second = (sorted(map(tuple, pipeline.run(spark, sf).collect())) for _ in range(2))
     assert first == second and first
+
+
+def test_mixed_texts_are_whole(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    out = pipeline.mixed(spark, docs, sf).collect()
+    assert all(r.text == texts[r.doc_id] for r in out)
+    took = [r for r in mixing.mix_sources(docs).collect() if r["size"]]
+    assert any(r.taken % r["size"] for r in took)  # the budget is met inside some text
+    times = {r.doc_id: (2 * r.taken + r["size"]) // (2 * r["size"]) for r in took}
+    assert Counter(r.doc_id for r in out) == {i: n for i, n in times.items() if n}
