@@ -30,17 +30,21 @@ def read_labeled_reviews(spark, sf):
 
 
 def bad_records(spark, sf):
-    """Reviews written with their source in place of the rating, unless it is 1 or 2."""
+    """Reviews written with their source in place of the rating, unless it is 1 or 2.
+
+    Texts are written whole, a null one as an empty text, which counts as a field.
+    """
     root = new_path(spark, "csv")
     low = F.col("overall") <= 2
     odd = fx.reviews(spark, sf).select(
         "reviewID", "asin", "helpfulPos", "helpfulNeg",
         F.when(low, F.col("overall").cast("string")).otherwise(F.col("asin")).alias("overall"),
-        F.lit("t").alias("reviewText"), F.lit("").alias("reviewTime"), "reviewerID",
+        F.coalesce("reviewText", F.lit("")).alias("reviewText"), F.lit("").alias("reviewTime"),
+        "reviewerID",
         F.lit("").alias("reviewerName"), F.lit("").alias("summary"), "unixReviewTime", "label",
     )
-    odd.write.options(header=True).csv(f"{root}/reviews")
-    return review_files.bad_records(spark, root, "reviews")
+    odd.write.options(**review_files._CSV_FORMAT).csv(f"{root}/reviews")
+    return review_files.bad_records(spark, root, "reviews", multi_line=True)
 
 
 def null_report(spark, sf):

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from checks import fixtures as fx, queries
 from conftest import rows
 from reviewlens.schema import REVIEW_SCHEMA
 from reviewlens.sources.corpus import (
@@ -162,3 +163,16 @@ def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def test_bad_records_query_writes_and_reads_whole_texts(spark, sf, monkeypatch):
+    whole = fx.reviews(spark, sf).withColumn("reviewText", F.concat("reviewText", F.lit('\n"a", b\n')))
+    seen = []
+    monkeypatch.setattr(queries.fx, "reviews", lambda *_: whole)
+    monkeypatch.setattr(queries.review_files, "bad_records", lambda s, *a, **k: seen.append((a, k)) or bad_records(s, *a, **k))
+    records, bad, fields = queries.bad_records(spark, sf).first()
+    (args, options), = seen
+    read = read_labeled_reviews(spark, *args, **options).select("reviewID", "reviewText")
+    assert rows(read) == rows(whole.select("reviewID", "reviewText"))
+    assert records == whole.count() and bad == whole.where("overall > 2").count()
+    assert fields == 12 * records - bad
