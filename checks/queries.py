@@ -89,13 +89,16 @@ def corpus_completeness(spark, sf):
 
 
 def class_files_completeness(spark, sf):
-    """Entries of a corpus written as text, one per quality and language, and an empty one."""
+    """Entries of a corpus written as text, one per quality and language, and an empty one.
+
+    An entry is the folder of a language, to which every task writes its own file.
+    """
     root = new_path(spark, "corpus")
     docs = fx.labeled_documents(spark, sf)
     for quality, name in ((0, "d"), (1, "t")):
         chosen = docs.where(F.col("quality") == quality).select("lang", "text")
         empty = chosen.select(F.lit("none").alias("lang"), F.lit(None).cast("string").alias("text"))
-        parts = chosen.unionByName(empty.limit(1)).repartition(1, "lang")
+        parts = chosen.unionByName(empty.limit(1))
         parts.write.partitionBy("lang").text(f"{root}/{name}")
     return corpus.class_files(spark, root).groupBy("class").agg(F.count("*").alias("files"))
 

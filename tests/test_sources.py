@@ -176,3 +176,12 @@ def test_bad_records_query_writes_and_reads_whole_texts(spark, sf, monkeypatch):
     assert rows(read) == rows(whole.select("reviewID", "reviewText"))
     assert records == whole.count() and bad == whole.where("overall > 2").count()
     assert fields == 12 * records - bad
+
+
+def test_class_files_are_written_by_several_tasks(spark, sf, tmp_path, monkeypatch):
+    docs = fx.labeled_documents(spark, sf).withColumn("lang", F.lit("en")).repartition(4)
+    monkeypatch.setattr(queries.fx, "labeled_documents", lambda *_: docs)
+    monkeypatch.setattr(queries, "new_path", lambda *_: str(tmp_path))
+    assert rows(queries.class_files_completeness(spark, sf)) == [("d", 2), ("t", 2)]
+    for name in "dt":
+        assert len(list((tmp_path / name / "lang=en").glob("part-*"))) > 1
