@@ -178,6 +178,76 @@ scores as (
 )"""
 
 
+def _bayes_at(smoothing: str, sums: str, by: str) -> str:
+    """theta at a smoothing, from ``sums`` (by, label, term, weight_sum); ln(0) is -inf."""
+    return f"""
+  select {by}, label, term,
+    case when weight_sum + {smoothing} = 0 then '-infinity'::double else ln(weight_sum + {smoothing}) end
+    - ln(sum(weight_sum) over (partition by {by}, label)
+      + {smoothing} * count(*) over (partition by {by}, label)) theta
+  from {sums}"""
+
+
+_PREDICTED = """
+  case when isnan(score0) or isnan(score1) then 0.0::double
+       when score1 > score0 then 1.0::double else 0.0::double end"""
+
+_UNSMOOTHED = f"""
+bare as (select *, 0 as one from sums),
+bare_theta as ({_bayes_at('0.0', 'bare', 'one')}),
+bare_scores as (
+  select w.id,
+    sum(w.weight * t.theta) filter (where t.label = 0)
+      + ln(any_value(n.n0) / any_value(n.n0 + n.n1)) score0,
+    sum(w.weight * t.theta) filter (where t.label = 1)
+      + ln(any_value(n.n1) / any_value(n.n0 + n.n1)) score1
+  from weights w join bare_theta t using (term)
+  cross join (select max(n) filter (where label = 0)::double n0,
+                max(n) filter (where label = 1)::double n1 from priors) n
+  where not {_IN_TRAIN.format(key='w.id')} group by 1
+)"""
+
+_FOLD_OF = "cast(('0x' || substr(md5('fold:' || cast({key} as varchar)), 1, 8))::bigint % 7 as int)"
+
+# Every fold and smoothing trained anew, on the rows of the other folds.
+_CV = f"""
+fold_rows as (select *, {_FOLD_OF.format(key='id')} fold from train),
+grid as (select f, s from (select unnest(range(7)) f) cross join (select unnest([0.0::double, 0.5, 1.0]) s)),
+fold_sums as (
+  select g.f, g.s, c.label, v.term, coalesce(sums.weight_sum, 0) weight_sum
+  from grid g cross join classes c cross join vocabulary v
+  left join (
+    select o.f, r.label, r.term, sum(r.weight) weight_sum
+    from (select unnest(range(7)) f) o join fold_rows r on r.fold <> o.f group by 1, 2, 3
+  ) sums on sums.f = g.f and sums.label = c.label and sums.term = v.term
+),
+fold_theta as ({_bayes_at('s', 'fold_sums', 'f, s')}),
+fold_docs as (select distinct id, label, fold from fold_rows),
+fold_priors as (
+  select g.f, g.s, c.label,
+    ln(count(d.id) filter (where d.label = c.label) + g.s) - ln(count(d.id) + 2 * g.s) pi
+  from grid g cross join classes c join fold_docs d on d.fold <> g.f group by 1, 2, 3
+),
+fold_scores as (
+  select r.id, r.fold, r.label, t.s,
+    sum(r.weight * t.theta) filter (where t.label = 0) + any_value(p0.pi) score0,
+    sum(r.weight * t.theta) filter (where t.label = 1) + any_value(p1.pi) score1
+  from fold_rows r join fold_theta t on t.f = r.fold and t.term = r.term
+  join fold_priors p0 on p0.f = t.f and p0.s = t.s and p0.label = 0
+  join fold_priors p1 on p1.f = t.f and p1.s = t.s and p1.label = 1
+  group by 1, 2, 3, 4
+),
+fold_guesses as (
+  select id, fold, label, s as smoothing, {_PREDICTED} as prediction from fold_scores
+),
+fold_accuracy as (
+  select smoothing, fold, avg(case when label = prediction then 1.0::double else 0 end) accuracy
+  from fold_guesses group by 1, 2
+),
+grid_accuracy as (select smoothing, avg(accuracy) accuracy from fold_accuracy group by 1),
+best as (select arg_min(smoothing, (-accuracy, smoothing)) s from grid_accuracy)"""
+
+
 def _metrics(source: str, label: str, prediction: str) -> str:
     return f"""
 cells as (select cast({label} as double) label, cast({prediction} as double) prediction from {source}),
@@ -367,6 +437,36 @@ ORACLES: dict[str, str] = {
           case when max(score) filter (where label = 0) >= max(score) filter (where label = 1)
             then 0.0::double else 1.0::double end as prediction
         from scores group by 1""",
+    "nb_predict_unsmoothed": f"""
+        {_with(_REVIEWS, _TEXTS, _COUNTS, _WEIGHTS, _BAYES, _UNSMOOTHED)}
+        select id, cast(isfinite(score0) as int) + cast(isfinite(score1) as int) as n_finite,
+          {_PREDICTED} as prediction from bare_scores""",
+    "nb_cv_predictions": f"""
+        {_with(_REVIEWS, _TEXTS, _COUNTS, _WEIGHTS, _BAYES, _CV)}
+        select id, fold, label, smoothing, prediction from fold_guesses""",
+    "nb_cv_relational": f"""
+        {_with(_REVIEWS, _TEXTS, _COUNTS, _WEIGHTS, _BAYES, _CV)}
+        select smoothing, round(accuracy, 9) as accuracy from grid_accuracy""",
+    "nb_cv_metrics": f"""
+        {_with(_REVIEWS, _TEXTS, _COUNTS, _WEIGHTS, _BAYES, _CV)},
+        chosen as (select b.s, sums.* from sums cross join best b),
+        chosen_theta as ({_bayes_at('s', 'chosen', 's')}),
+        chosen_priors as (
+          select p.label, ln(p.n + b.s) - ln((select sum(n) from priors) + 2 * b.s) pi
+          from priors p cross join best b
+        ),
+        final as (
+          select w.id,
+            sum(w.weight * t.theta) filter (where t.label = 0) + any_value(p0.pi) score0,
+            sum(w.weight * t.theta) filter (where t.label = 1) + any_value(p1.pi) score1
+          from weights w join chosen_theta t using (term)
+          join chosen_priors p0 on p0.label = 0 join chosen_priors p1 on p1.label = 1
+          where not {_IN_TRAIN.format(key='w.id')} group by 1
+        ),
+        pairs as (
+          select r.label truth, {_PREDICTED} guess from final join reviews r on r.reviewID = final.id
+        ), {_metrics('pairs', 'truth', 'guess')}
+        select m.*, best.s as smoothing from ({_METRIC_ROWS}) m cross join best""",
     "nb_split_metrics": f"""
         {_with(_REVIEWS, _TEXTS, _COUNTS, _WEIGHTS, _BAYES, _SCORES)},
         pairs as (

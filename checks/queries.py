@@ -19,6 +19,8 @@ from reviewlens.sources.staging import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+NB_SMOOTHINGS = models.GRIDS["naive_bayes"]["smoothing"]
+
 
 # --- sources ---------------------------------------------------------------
 
@@ -300,6 +302,44 @@ def nb_predict(spark, sf):
     return bayes.nb_split_predict(fx.reviews(spark, sf)).withColumns(scores)
 
 
+def nb_predict_unsmoothed(spark, sf):
+    """Predictions without smoothing, and how many classes have a finite score."""
+    found = bayes.nb_split_predict(fx.reviews(spark, sf), smoothing=0.0)
+    finite = [(F.abs(c) < float("inf")).cast("int") for c in ("score0", "score1")]
+    return found.select("id", (finite[0] + finite[1]).alias("n_finite"), "prediction")
+
+
+def _cv_weights(spark, sf):
+    fold = fold_number("reviewID", features.FOLDS)
+    return bayes.bayes_weights(fx.reviews(spark, sf), fold=fold)
+
+
+def nb_cv_predictions(spark, sf):
+    """Every training row scored without its fold, for every smoothing of the grid."""
+    found = bayes.nb_fold_predictions(_cv_weights(spark, sf), features.FOLDS, NB_SMOOTHINGS)
+    return found.select("id", "fold", "label", "smoothing", "prediction")
+
+
+def nb_cv_relational(spark, sf):
+    """Mean accuracy over the folds for every smoothing of the grid."""
+    grid = bayes.nb_grid(_cv_weights(spark, sf), features.FOLDS, NB_SMOOTHINGS)
+    return grid.withColumn("accuracy", F.round("accuracy", 9))
+
+
+def nb_cv_metrics(spark, sf):
+    """Smoothing chosen over the folds, fitted on the training part, metrics of the rest."""
+    reviews = fx.reviews(spark, sf)
+    weights = _cv_weights(spark, sf)
+    grid = bayes.nb_grid(weights, features.FOLDS, NB_SMOOTHINGS)
+    best = bayes.best_smoothing(grid, NB_SMOOTHINGS)
+    priors = bayes.nb_priors(reviews.where(split_part("reviewID") == 0), best)
+    test = weights.where("part = 1").select("id", "term", "weight")
+    labels = reviews.select(F.col("reviewID").alias("id"), "label")
+    predicted = bayes.nb_predict(weights, test, priors, best).join(labels, "id")
+    report = metrics.classification_metrics(predicted)
+    return report.select("metric", F.round("value", 9).alias("value"), F.lit(best).alias("smoothing"))
+
+
 def nb_split_metrics(spark, sf):
     """Relational naive Bayes from reviews to metrics."""
     reviews = fx.reviews(spark, sf)
@@ -478,6 +518,10 @@ QUERIES: dict[str, Query] = {
     "nb_aggregates": nb_aggregates,
     "nb_priors": nb_priors,
     "nb_predict": nb_predict,
+    "nb_predict_unsmoothed": nb_predict_unsmoothed,
+    "nb_cv_predictions": nb_cv_predictions,
+    "nb_cv_relational": nb_cv_relational,
+    "nb_cv_metrics": nb_cv_metrics,
     "nb_split_metrics": nb_split_metrics,
     "classification_metrics": classification_metrics,
     "classification_metrics_languages": classification_metrics_languages,

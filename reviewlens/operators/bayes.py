@@ -1,8 +1,17 @@
-"""Multinomial naive Bayes from relational sufficient statistics."""
+"""Multinomial naive Bayes from relational sufficient statistics.
+
+Without smoothing a term that a class lacks has log probability -inf there. Sums follow
+the rules of floating-point numbers, in which a weight of 0 times -inf is not a number:
+the class of largest score is predicted, the first one on equal scores, hence where every
+class has -inf, and also where any score is not a number.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -14,6 +23,21 @@ from reviewlens.schema import CLASSES
 from reviewlens.sources.staging import stage
 
 
+def _ln(value: Column) -> Column:
+    """Natural logarithm, -inf at 0."""
+    return F.when(value == 0, F.lit(float("-inf"))).otherwise(F.log(value))
+
+
+def _predicted(scores: Sequence[Column], classes: Sequence[float]) -> Column:
+    """The class of largest score by the rules above."""
+    best, label = scores[0], F.lit(float(classes[0]))
+    for score, name in zip(scores[1:], classes[1:]):
+        label = F.when(score > best, F.lit(float(name))).otherwise(label)
+        best = F.greatest(best, score)
+    undefined = reduce(or_, [F.isnan(s) for s in scores])
+    return F.when(undefined, F.lit(float(classes[0]))).otherwise(label)
+
+
 def nb_priors(
     labels: DataFrame, smoothing: float = 1.0, classes: Sequence[float] = CLASSES
 ) -> DataFrame:
@@ -47,7 +71,7 @@ def _theta(sums: DataFrame, smoothing: float, n_classes: int) -> DataFrame:
     total = sums.agg(masses).scalar()
     return sums.withColumns(
         {
-            f"theta{i}": F.log(F.col(f"s{i}") + smoothing) - F.log(total[i])
+            f"theta{i}": _ln(F.col(f"s{i}") + smoothing) - _ln(total[i])
             for i in range(n_classes)
         }
     )
@@ -59,21 +83,25 @@ def bayes_weights(
     text: str = "reviewText",
     label: str = "label",
     part: Column | None = None,
+    fold: Column | None = None,
 ) -> DataFrame:
-    """(id, term, df, weight, label, part) of all reviews with text, staged.
+    """(id, term, tf, df, weight, part, label) of all reviews with text, staged.
 
     Part 0 is for training; the label is null outside it. The label travels with
-    the terms of its row, and the terms are counted once.
+    the terms of its row, and the terms are counted once. ``fold`` adds that column.
     """
     part = split_part(row_id) if part is None else part
+    extra = {"part": part, "label": F.when(part == 0, F.col(label))}
+    if fold is not None:
+        extra["fold"] = fold
     rows = reviews.where(F.col(text).isNotNull()).select(
-        row_id, text, part.alias("part"), F.when(part == 0, F.col(label)).alias("label")
+        row_id, text, *(c.alias(n) for n, c in extra.items())
     )
-    carry = ["part", "label"]
+    carry = list(extra)
     words = normalized_tokens(text)
     counts = stage(term_counts(rows, row_id, words, carry), "counts")
     weights = tfidf_terms(rows, row_id, words, counts, carry)
-    return stage(weights.select("id", "term", "df", "weight", *carry), "weights")
+    return stage(weights.select("id", "term", "tf", "df", "weight", *carry), "weights")
 
 
 def nb_aggregates(
@@ -121,8 +149,7 @@ def nb_predict(
         for i, (t, p) in enumerate(zip(thetas, pi))
     ]
     names = [f"score{i}" for i in range(len(classes))]
-    best = F.array_position(F.array(*names), F.greatest(*names))
-    label = F.element_at(F.array(*[F.lit(float(c)) for c in classes]), best.cast("int"))
+    label = _predicted([F.col(n) for n in names], classes)
     return (
         scored.groupBy("id").agg(*scores).select("id", *names, label.alias("prediction"))
     )
@@ -134,3 +161,106 @@ def nb_split_predict(reviews: DataFrame, smoothing: float = 1.0) -> DataFrame:
     priors = nb_priors(reviews.where(split_part("reviewID") == 0), smoothing)
     test = weights.where("part = 1").select("id", "term", "weight")
     return nb_predict(weights, test, priors, smoothing)
+
+
+def fold_sums(
+    weights: DataFrame, folds: int, classes: Sequence[float] = CLASSES
+) -> DataFrame:
+    """(term, df, idf, t0, t1, …): array ``t_i`` has the count of class i in each fold.
+
+    One aggregate serves every fold and smoothing: what a model is trained on without
+    a fold is the sum of the array minus the fold's cell. Counts are whole numbers, so
+    that a term seen in no other fold has exactly nothing left.
+    """
+    cells = {
+        f"t{i}": F.array(
+            *[
+                F.sum(F.when((F.col("label") == c) & (F.col("fold") == f), F.col("tf")).otherwise(0))
+                for f in range(folds)
+            ]
+        )
+        for i, c in enumerate(classes)
+    }
+    idf = F.max(F.col("weight") / F.col("tf"))
+    return weights.groupBy("term").agg(
+        F.max("df").alias("df"), idf.alias("idf"), *(c.alias(n) for n, c in cells.items())
+    )
+
+
+def _array(values: Sequence[float]) -> Column:
+    return F.array(*[F.lit(float(v)) for v in values])
+
+
+def _log(value: float) -> float:
+    return math.log(value) if value > 0 else -math.inf
+
+
+def nb_fold_predictions(
+    weights: DataFrame,
+    folds: int,
+    smoothings: Sequence[float],
+    classes: Sequence[float] = CLASSES,
+) -> DataFrame:
+    """(id, fold, label, smoothing, score0, score1, …, prediction) of all training rows.
+
+    Each row is scored by the model of all folds but its own, for every smoothing, in
+    one join and one aggregate. ``weights`` is that of `bayes_weights` with folds. To
+    the driver come one sum per class and fold, and the number of terms.
+    """
+    terms = stage(fold_sums(weights, folds, classes), "fold-sums")
+    k = range(len(classes))
+    rest = [f"transform(t{i}, x -> aggregate(t{i}, 0L, (a, b) -> a + b) - x) as r{i}" for i in k]
+    terms = terms.selectExpr("term", "df", "idf", *rest)
+    masses = [
+        F.sum(F.col("idf") * F.get(f"r{i}", F.lit(f))).alias(f"m{i}_{f}") for i in k for f in range(folds)
+    ]
+    total = terms.agg(F.count("*").alias("terms"), *masses).first()
+    mass = [[total[f"m{i}_{f}"] or 0.0 for f in range(folds)] for i in k]
+
+    training = weights.where((F.col("part") == 0) & F.col("label").isin(list(classes)))
+    by_cell = training.select("id", "label", "fold").distinct().groupBy("label", "fold")
+    found = {(r["label"], r["fold"]): r["n"] for r in by_cell.agg(F.count("*").alias("n")).collect()}
+    own = [[found.get((float(c), f), 0) for f in range(folds)] for c in classes]
+    left = [[sum(row) - n for n in row] for row in own]
+
+    documents = weights.agg(F.count("term")).scalar()
+    rows = training.select("id", "term", "weight", "label", "fold")
+    joined = lookup_join(rows, terms, "term", "df", total=documents)
+    fold = F.col("fold")
+    sums, scores = [], []
+    for j, s in enumerate(smoothings):
+        for i in k:
+            log_mass = _array([_log(m + s * total["terms"]) for m in mass[i]])
+            theta = _ln(F.col("idf") * F.get(f"r{i}", fold) + s) - F.get(log_mass, fold)
+            sums.append(F.sum(F.col("weight") * theta).alias(f"_s{j}_{i}"))
+    summed = joined.groupBy("id", "fold", "label").agg(*sums)
+    for j, s in enumerate(smoothings):
+        cells = []
+        for i in k:
+            logs = [
+                _log(left[i][f] + s) - _log(sum(c[f] for c in left) + len(classes) * s) for f in range(folds)
+            ]
+            cells.append((F.col(f"_s{j}_{i}") + F.get(_array(logs), fold)).alias(f"score{i}"))
+        scores.append(F.struct(F.lit(float(s)).alias("smoothing"), *cells))
+    names = [f"score{i}" for i in k]
+    out = summed.select("id", "fold", "label", F.inline(F.array(*scores)))
+    return out.withColumn("prediction", _predicted([F.col(n) for n in names], classes))
+
+
+def nb_grid(
+    weights: DataFrame,
+    folds: int,
+    smoothings: Sequence[float],
+    classes: Sequence[float] = CLASSES,
+) -> DataFrame:
+    """(smoothing, accuracy): mean accuracy over the folds that hold rows."""
+    scored = nb_fold_predictions(weights, folds, smoothings, classes)
+    hit = F.avg((F.col("label") == F.col("prediction")).cast("double"))
+    per_fold = scored.groupBy("smoothing", "fold").agg(hit.alias("accuracy"))
+    return per_fold.groupBy("smoothing").agg(F.avg("accuracy").alias("accuracy"))
+
+
+def best_smoothing(grid: DataFrame, smoothings: Sequence[float]) -> float:
+    """The smoothing of best accuracy, the first one tried among equals."""
+    found = {r["smoothing"]: r["accuracy"] for r in grid.collect()}
+    return max(smoothings, key=lambda s: found.get(float(s), -1.0))
