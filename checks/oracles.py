@@ -506,4 +506,28 @@ ORACLES: dict[str, str] = {
     "save_model": """
         select doc_id, true as same from documents
         where doc_id not in (select doc_id from labels)""",
+    "saved_model_tokens": _lemma_query(
+        "select doc_id, text from documents where doc_id not in (select doc_id from labels)", "doc_id"
+    ),
+    "saved_model_class_counts": f"""
+        with lines as ({_lines(0, 'D')} union all {_lines(1, 'T')}),
+        fitted as (
+          select count(*) n, count(*) filter (where label = 0) n0, count(*) filter (where label = 1) n1
+          from lines where {_IN_TRAIN.format(key='id')}
+        )
+        select (select count(*) from lines) as n_docs,
+          round(ln(n0 + 1.0) - ln(n + 2.0), 9) as pi0, round(ln(n1 + 1.0) - ln(n + 2.0), 9) as pi1
+        from fitted""",
+    "string_index_applied": """
+        select d.doc_id, d.source, i.index from documents d join (
+          select source, cast(row_number() over (order by count(*) desc, source) - 1 as double) as index
+          from documents group by 1) i on i.source = d.source""",
+    "string_index_kept": """
+        with known as (
+          select source, cast(row_number() over (order by count(*) desc, source) - 1 as double) as index
+          from documents join labels using (doc_id) where doc_id % 3 = 0 group by 1
+        )
+        select d.doc_id, d.source,
+          coalesce(k.index, cast((select count(*) from known) as double)) as index
+        from documents d left join known k on k.source = d.source""",
 }

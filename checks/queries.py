@@ -474,6 +474,45 @@ def score_with_saved_model(spark, sf):
     return scoring.score_with_saved_model(path, docs, "text").drop("text")
 
 
+def saved_model_tokens(spark, sf):
+    """What a model saved with its lemma table is given of every unlabelled document."""
+    lines = corpus.union_corpora(*fx.corpora(spark, sf))
+    lemmas = fx.lemma_table(spark, sf)
+    model, _ = scoring.train_corpus_model(lines, "naive_bayes", lemmas=lemmas)
+    path = new_path(spark, "model")
+    scoring.save_model(model, path)
+    docs = fx.unlabeled_documents(spark, sf).select("doc_id", "text")
+    given = scoring.model_input(path, docs, "text")
+    return given.select("doc_id", F.array_join("words", " ").alias("normalized"))
+
+
+def saved_model_class_counts(spark, sf):
+    """Lines of each class that the saved model was trained on, out of its own priors."""
+    lines = corpus.union_corpora(*fx.corpora(spark, sf))
+    model, _ = scoring.train_corpus_model(lines, "naive_bayes")
+    path = new_path(spark, "model")
+    scoring.save_model(model, path)
+    fitted = scoring.PipelineModel.load(path).stages
+    # ln((n + 1) / (N + 2)) of either class, with N from the sum of both.
+    shares = [float(x) for x in fitted[-1].pi.toArray()]
+    return spark.createDataFrame([(fitted[3].numDocs, *shares)], "n_docs bigint, pi0 double, pi1 double").select(
+        "n_docs", F.round("pi0", 9).alias("pi0"), F.round("pi1", 9).alias("pi1")
+    )
+
+
+def string_index_applied(spark, sf):
+    """Every document with the number of its source; a source without one is an error."""
+    docs = fx.documents(spark, sf).select("doc_id", "source")
+    return indexing.apply_index(docs, "source", indexing.string_index(docs, "source"))
+
+
+def string_index_kept(spark, sf):
+    """Sources of documents numbered by those of labelled ones, the rest behind them."""
+    known = fx.labeled_documents(spark, sf).where("doc_id % 3 = 0").select("source")
+    docs = fx.documents(spark, sf).select("doc_id", "source")
+    return indexing.apply_index(docs, "source", indexing.string_index(known, "source"), unseen="keep")
+
+
 QUERIES: dict[str, Query] = {
     "read_labeled_reviews": read_labeled_reviews,
     "bad_records": bad_records,
@@ -543,4 +582,8 @@ QUERIES: dict[str, Query] = {
     "corpus_mlp_train_eval": corpus_mlp_train_eval,
     "save_model": save_model,
     "score_with_saved_model": score_with_saved_model,
+    "saved_model_tokens": saved_model_tokens,
+    "saved_model_class_counts": saved_model_class_counts,
+    "string_index_applied": string_index_applied,
+    "string_index_kept": string_index_kept,
 }

@@ -32,6 +32,35 @@ def wssse(
     )
 
 
+def _product(point: Column) -> Column:
+    """Inner product of the entries ``_e`` with a point."""
+    return F.aggregate("_e", F.lit(0.0), lambda total, e: total + e["x"] * F.get(point, e["i"]))
+
+
+def sparse_wssse(
+    df: DataFrame, centres: Sequence[Sequence[float]], vector: str
+) -> DataFrame:
+    """`wssse` of vectors in stored form, a struct of type, size, indices and values.
+
+    |x|^2 - 2 x.c + |c|^2 needs the entries of a vector only, however wide it is; a
+    difference below 0, which only rounding can give, counts as 0.
+    """
+    kept = F.col(vector)
+    # A dense vector is stored without indices.
+    places = F.coalesce(kept["indices"], F.sequence(F.lit(0), F.size(kept["values"]) - 1))
+    entries = df.select(
+        F.arrays_zip(places.alias("i"), kept["values"].alias("x")).alias("_e"), kept["values"].alias("_x")
+    )
+    squares = F.aggregate("_x", F.lit(0.0), lambda total, x: total + x * x)
+    distances = []
+    for centre in centres:
+        centre = [float(c) for c in centre]
+        point = F.from_json(F.lit(json.dumps(centre)), "array<double>")
+        distances.append(squares - 2 * _product(point) + sum(c * c for c in centre))
+    nearest = F.greatest(F.array_min(F.array(*distances)), F.lit(0.0))
+    return entries.agg(F.count("_x").alias("n"), F.sum(nearest).alias("wssse"))
+
+
 def majority_labels(
     predictions: DataFrame, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:

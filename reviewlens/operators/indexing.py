@@ -7,6 +7,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from reviewlens.operators.lookup import lookup_join
 from reviewlens.sources.staging import stage
 
 _MARK, _PART = "_mark", "_part"
@@ -69,3 +70,37 @@ def string_index(df: DataFrame, column: str, name: str = "index") -> DataFrame:
     )
     ranked = contiguous_index(counts, [F.desc("n"), F.col("value")], name)
     return ranked.withColumn(name, F.col(name).cast("double"))
+
+
+UNSEEN = ("error", "keep", "skip")
+
+
+def apply_index(
+    df: DataFrame, column: str, index: DataFrame, name: str = "index", unseen: str = "error"
+) -> DataFrame:
+    """Add ``name``: the number of each value of ``column`` in a table of `string_index`.
+
+    A value that the table does not hold, and null, is an error, found by a job when this
+    is called; with ``unseen="keep"`` it gets the number after the last one, with "skip"
+    the row is left out. Hot values pass no exchange.
+    """
+    if unseen not in UNSEEN:
+        raise ValueError(f"unseen must be one of {UNSEEN}")
+    if name in df.columns:
+        raise ValueError(f"there is a column {name} already")
+    value, rows_of_value = "_value", "_n"
+    rows = df.withColumn(value, F.col(column).cast("string"))
+    numbers = index.select(
+        F.col("value").alias(value), F.col("n").alias(rows_of_value), F.col(index.columns[-1]).alias(name)
+    )
+    seen = lookup_join(rows, numbers, value, rows_of_value).drop(value)
+    if unseen == "skip":
+        return seen
+    rest = rows.join(numbers.select(value), value, "left_anti").drop(value)
+    if unseen == "error":
+        found = rest.select(column).first()
+        if found is not None:
+            raise ValueError(f"{column} has a value without index: {found[0]!r}")
+        return seen
+    last = index.agg(F.count("*").cast("double")).scalar()
+    return seen.unionByName(rest.withColumn(name, last))

@@ -8,7 +8,12 @@ from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+)
 from pyspark.sql import DataFrame, functions as F
 
 from reviewlens.functions.text import kept_tokens, normalized, surface_tokens
@@ -60,21 +65,61 @@ def normalize_text(
     )
 
 
+_LEMMAS = "lemmas"
+
+
+class _NormalizerWriter(DefaultParamsWriter):
+    """Parameters, and the lemma table beside them."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        if self.instance.lemmas is not None:
+            self.instance.lemmas.select("surface", "lemma").write.parquet(f"{path}/{_LEMMAS}")
+
+
+class _NormalizerReader(DefaultParamsReader):
+    def load(self, path: str) -> TextNormalizer:
+        stage_ = super().load(path)
+        if stage_.getOrDefault(stage_.hasLemmas):
+            stage_.lemmas = self.sparkSession.read.schema("surface string, lemma string").parquet(
+                f"{path}/{_LEMMAS}"
+            )
+        return stage_
+
+
 class TextNormalizer(
     Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable
 ):
-    """`normalize_text` without lemmas as a stage, so saved models take raw text."""
+    """`normalize_text` as a stage, so saved models take raw text.
+
+    A lemma table (surface, lemma) is written and read with the stage. A stage with
+    lemmas writes its rows to the shared folder when it transforms.
+    """
 
     stop = Param(
         Params._dummy(), "stop", "tokens to drop", TypeConverters.toListString
     )
+    hasLemmas = Param(
+        Params._dummy(), "hasLemmas", "whether a lemma table belongs to the stage", TypeConverters.toBoolean
+    )
+    lemmas: DataFrame | None = None
 
     @keyword_only
-    def __init__(self, *, inputCol=None, outputCol=None, stop=None):
+    def __init__(self, *, inputCol=None, outputCol=None, stop=None, lemmas=None):
         super().__init__()
-        self._setDefault(stop=list(STOP_WORDS))
-        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+        self._setDefault(stop=list(STOP_WORDS), hasLemmas=False)
+        given = {k: v for k, v in self._input_kwargs.items() if v is not None and k != _LEMMAS}
+        self._set(hasLemmas=lemmas is not None, **given)
+        self.lemmas = lemmas
+
+    def write(self) -> _NormalizerWriter:
+        return _NormalizerWriter(self)
+
+    @classmethod
+    def read(cls) -> _NormalizerReader:
+        return _NormalizerReader(cls)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        expr = normalized(self.getInputCol(), self.getOrDefault(self.stop))
-        return dataset.withColumn(self.getOutputCol(), expr)
+        return normalize_text(
+            dataset, self.getInputCol(), self.getOutputCol(), self.lemmas, self.getOrDefault(self.stop)
+        )

@@ -6,10 +6,13 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.ml.feature import IDF, HashingTF, IDFModel, Tokenizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from reviewlens.functions.split import fold_number, split_part
-from reviewlens.functions.text import capital_ratio, normalized, word_count
+from reviewlens.functions.text import capital_ratio, word_count
+from reviewlens.operators.folds import stratified_folds
 from reviewlens.operators.normalize import normalize_text
 from reviewlens.operators.profiles import attach_for_features
 from reviewlens.schema import (
@@ -21,7 +24,7 @@ from reviewlens.schema import (
     TEXT_FEATURE_ORDER,
     USER_STARS,
 )
-from reviewlens.sources.staging import stage
+from reviewlens.sources.staging import new_path, stage
 
 # Fixed value: the reference number of cross-validation folds.
 FOLDS = 7
@@ -132,6 +135,37 @@ def hashed_counts(
     return tf.transform(words).drop("_words")
 
 
+def stored_as(df: DataFrame, vectors: Iterable[str], stored: T.DataType) -> DataFrame:
+    """``df`` written and read back with ``vectors`` as columns of type ``stored``.
+
+    A vector is stored as a struct of its type, size, indices and values, so the same
+    files can be read with vectors or with the sparse arrays inside them.
+    """
+    vectors = set(vectors)
+    fields = [T.StructField(f.name, stored if f.name in vectors else f.dataType) for f in df.schema]
+    path = new_path(df.sparkSession, "hashed")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(T.StructType(fields)).parquet(path)
+
+
+def _sum_of(counts: Column, few: Column) -> Column:
+    """Sum of two stored sparse vectors, the second with few entries."""
+    extra = F.map_from_arrays(few["indices"], few["values"])
+    grown = F.transform(
+        F.arrays_zip(counts["indices"].alias("i"), counts["values"].alias("v")),
+        lambda e: F.struct(e["i"].alias("i"), (e["v"] + F.coalesce(extra[e["i"]], F.lit(0.0))).alias("v")),
+    )
+    new = F.transform(
+        F.filter(few["indices"], lambda i: ~F.array_contains(counts["indices"], i)),
+        lambda i: F.struct(i.alias("i"), extra[i].alias("v")),
+    )
+    entries = F.array_sort(F.concat(grown, new))
+    return F.struct(
+        few["type"].alias("type"), few["size"].alias("size"),
+        entries["i"].alias("indices"), entries["v"].alias("values"),
+    )
+
+
 @dataclass(frozen=True)
 class ModelFrame:
     """Hashed TF-IDF rows (id, label, features, part, fold) and their weighting."""
@@ -158,6 +192,15 @@ def check_unique(df: DataFrame, key: str) -> None:
         raise ValueError(f"{key} must not be null")
 
 
+def class_folds(rows: DataFrame, key: str, folds: int) -> DataFrame:
+    """(key, fold) of the training rows of ``rows`` (key, label, part), classes dealt evenly.
+
+    Only narrow rows are sorted, and written to the shared folder.
+    """
+    training = rows.where("part = 0 and label is not null").select(key, "label")
+    return stratified_folds(training, key, "label", folds).select(key, "fold")
+
+
 def weighted_frame(
     counts: DataFrame,
     key: str,
@@ -169,22 +212,80 @@ def weighted_frame(
     """Weight staged hashed counts by inverse document frequency.
 
     The weighting is fitted on all rows, or with ``fit_on="train"`` on the
-    training part only. Part and fold depend on key and seed alone.
+    training part only. The part depends on key and seed alone. The folds are the
+    column ``fold`` of ``counts`` where it is not null, else they follow from the key.
     """
     if fit_on not in ("all", "train"):
         raise ValueError("fit_on must be 'all' or 'train'")
+    fold = fold_number(key, folds)
     rows = counts.select(
         key,
         F.col("label").cast("double").alias("label"),
         "rawFeatures",
         split_part(key, SPLIT_WEIGHTS, split_seed).alias("part"),
-        fold_number(key, folds).alias("fold"),
+        (F.coalesce("fold", fold) if "fold" in counts.columns else fold).alias("fold"),
     )
     fitted = rows if fit_on == "all" else rows.where("part = 0")
     idf = IDF(inputCol="rawFeatures", outputCol="features").fit(fitted)
     return ModelFrame(dataset, idf.transform(rows).drop("rawFeatures"), idf)
 
 
+DATASETS = ("text_only", "text_features")
+
+
+def hashed_frames(
+    reviews: DataFrame,
+    folds: int = FOLDS,
+    independent_splits: bool = False,
+    fold_by: str = "class",
+    lemmas: DataFrame | None = None,
+    stop: Iterable[str] = STOP_WORDS,
+    include_review_rate: bool = False,
+) -> DataFrame:
+    """(reviewID, label, text_only, text_features, fold_…) of reviews with a text, written.
+
+    ``text_only`` and ``text_features`` are hashed counts; the latter is null where a
+    number of the review is missing. Texts are hashed where they are read, and the counts
+    of the feature words are added after a join by id, so no text passes an exchange
+    (with ``lemmas``, only single tokens do). There is a fold column for each frame, null
+    outside its training part, unless ``fold_by`` is "key".
+    """
+    if fold_by not in ("class", "key"):
+        raise ValueError("fold_by must be 'class' or 'key'")
+    check_unique(reviews, "reviewID")
+    with_text = reviews.where(F.col("reviewText").isNotNull())
+    texts = normalize_text(
+        with_text.select("reviewID", "reviewText"), "reviewText", "text", lemmas, stop
+    )
+    # An empty text is one empty word, but adds none to the feature words.
+    hashed = hashed_counts(texts.select("reviewID", "text", (F.col("text") == "").alias("_empty")), out="text_only")
+    sparse = stored_as(hashed.drop("text"), ["text_only"], VectorUDT.sqlType())
+
+    numbers = features_as_text(_features(with_text), include_review_rate=include_review_rate)
+    words = numbers.withColumn("_known", F.coalesce("featureText", F.lit("")))
+    narrow = stored_as(
+        hashed_counts(words, "_known", "_few").select("reviewID", "label", F.col("featureText").isNull().alias("_gap"), "_few"),
+        ["_few"], VectorUDT.sqlType(),
+    )
+    if fold_by == "class":
+        kept = narrow
+        for name in DATASETS:
+            part = split_part("reviewID", SPLIT_WEIGHTS, name if independent_splits else None)
+            own = kept if name == DATASETS[0] else kept.where("not _gap")
+            dealt = class_folds(own.select("reviewID", "label", part.alias("part")), "reviewID", folds)
+            narrow = narrow.join(dealt.withColumnRenamed("fold", f"fold_{name}"), "reviewID", "left")
+    else:
+        narrow = narrow.withColumns({f"fold_{name}": F.lit(None).cast("int") for name in DATASETS})
+    both = F.when(
+        ~F.col("_gap"),
+        F.when(F.col("_empty"), F.col("_few")).otherwise(_sum_of(F.col("text_only"), F.col("_few"))),
+    )
+    joined = sparse.join(narrow, "reviewID").select(
+        "reviewID", "label", "text_only", both.alias("text_features"), *(f"fold_{n}" for n in DATASETS)
+    )
+    return stored_as(joined, DATASETS, VectorUDT())
+
+
 def model_frames(
     reviews: DataFrame,
     fit_on: str = "all",
@@ -197,36 +298,29 @@ def model_frames(
     Normalised text, joins and hashing are computed once and written to the
     shared folder as sparse counts; fits and evaluations read those. Both frames
     have the same test rows unless ``independent_splits`` is set. Reviews with a
-    missing number are in the first frame only.
+    missing number are in the first frame only. ``options`` are those of `hashed_frames`;
+    every fold holds each class that has as many training rows as there are folds.
     """
-    frames = text_frames(reviews, **options)
-    whole = F.col("featureText").isNotNull()
-    both = frames.select(
-        "reviewID", "label", "text", whole.alias("_whole"),
-        F.concat(F.coalesce("featureText", F.lit("")), F.lit(" "), "text").alias("allText"),
-    )
-    counts = hashed_counts(hashed_counts(both, "text", "_text"), "allText", "_all")
-    staged = stage(counts.select("reviewID", "label", "_whole", "_text", "_all"), "hashed")
+    staged = hashed_frames(reviews, folds, independent_splits, **options)
     return [
         weighted_frame(
-            rows.select("reviewID", "label", F.col(column).alias("rawFeatures")),
-            "reviewID", dataset, fit_on, folds,
-            dataset if independent_splits else None,
-        )
-        for dataset, column, rows in (
-            ("text_only", "_text", staged),
-            ("text_features", "_all", staged.where("_whole")),
+            staged.where(F.col(name).isNotNull()).select(
+                "reviewID", "label", F.col(name).alias("rawFeatures"), F.col(f"fold_{name}").alias("fold")
+            ),
+            "reviewID", name, fit_on, folds, name if independent_splits else None,
         )
+        for name in DATASETS
     ]
 
 
 def corpus_frame(
     corpus: DataFrame, fit_on: str = "all", folds: int = FOLDS,
-    stop: Iterable[str] = STOP_WORDS,
+    stop: Iterable[str] = STOP_WORDS, lemmas: DataFrame | None = None,
 ) -> ModelFrame:
     """The hashed TF-IDF frame of a labelled line corpus (id, value, label)."""
-    texts = corpus.where(F.col("value").isNotNull()).select(
-        "id", "label", normalized("value", stop).alias("text")
-    )
-    counts = hashed_counts(texts).select("id", "label", "rawFeatures")
-    return weighted_frame(stage(counts, "hashed"), "id", "corpus", fit_on, folds)
+    lines = corpus.where(F.col("value").isNotNull()).select("id", "label", "value")
+    texts = normalize_text(lines, "value", "text", lemmas, stop).select("id", "label", "text")
+    counts = stage(hashed_counts(texts).select("id", "label", "rawFeatures"), "hashed")
+    narrow = counts.select("id", "label", split_part("id").alias("part"))
+    dealt = counts.join(class_folds(narrow, "id", folds), "id", "left")
+    return weighted_frame(stage(dealt, "hashed"), "id", "corpus", fit_on, folds)

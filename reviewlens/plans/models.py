@@ -16,13 +16,13 @@ from pyspark.ml.classification import (
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
-from reviewlens.operators.clusters import majority_labels, wssse
+from reviewlens.operators.clusters import majority_labels, sparse_wssse
 from reviewlens.operators.metrics import classification_metrics, metrics_report
-from reviewlens.plans.features import FOLDS, ModelFrame
+from reviewlens.plans.features import FOLDS, ModelFrame, stored_as
 from reviewlens.schema import HASH_FEATURES
 
 # MLlib's own default seed depends on the process, so one is always given.
@@ -114,9 +114,10 @@ def train_and_evaluate(
             model = LEARNERS[name]().fit(train)
         predicted = predict(model, frame.test)
         if name == "kmeans":
-            cost = wssse(
-                frame.train, model.clusterCenters(), vector_to_array("features")
-            ).select(F.lit("wssse").alias("metric"), F.col("wssse").alias("value"))
+            rows = stored_as(frame.train.select("features"), ["features"], VectorUDT.sqlType())
+            cost = sparse_wssse(rows, model.clusterCenters(), "features").select(
+                F.lit("wssse").alias("metric"), F.col("wssse").alias("value")
+            )
             reports.append(report_rows(cost, name, "plain", frame.dataset))
             if align:
                 predicted = _aligned(model, frame.train, predicted)

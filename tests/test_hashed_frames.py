@@ -1,0 +1,92 @@
+"""Frames from counts that are hashed at the scan and added after the join."""
+
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from checks import fixtures as fx
+from reviewlens.plans import features
+
+
+def odd(reviews):
+    """Reviews with empty texts and missing numbers among them."""
+    return reviews.withColumns({
+        "reviewText": F.when(F.col("reviewID") % 7 == 0, F.lit(" a")).when(F.col("reviewID") % 11 == 0, F.lit(None)).otherwise(F.col("reviewText")),
+        "helpfulPos": F.when(F.col("reviewID") % 5 > 0, F.col("helpfulPos")),
+    })
+
+
+@pytest.mark.parametrize("lemmas", [False, True])
+def test_counts_equal_those_of_the_whole_texts(spark, sf, lemmas):
+    reviews = odd(fx.reviews(spark, sf))
+    table = fx.lemma_table(spark, sf) if lemmas else None
+    texts = features.text_frames(reviews, lemmas=table)
+    found = features.hashed_frames(reviews, lemmas=table)
+    for name, frame in (("text_only", features.text_only_frame), ("text_features", features.text_features_frame)):
+        whole = features.hashed_counts(frame(texts)).select("reviewID", vector_to_array("rawFeatures").alias("v"))
+        own = found.where(F.col(name).isNotNull()).select("reviewID", vector_to_array(name).alias("v"))
+        want = {r["reviewID"]: list(r["v"]) for r in whole.collect()}
+        assert want and {r["reviewID"]: list(r["v"]) for r in own.collect()} == want
+
+
+def test_vectors_stay_sparse(spark, sf):
+    for r in features.hashed_frames(fx.reviews(spark, sf)).limit(20).collect():
+        for vector in (r["text_only"], r["text_features"]):
+            assert vector.size == 5000 and len(vector.indices) < 5000
+            assert list(vector.indices) == sorted(set(vector.indices))
+
+
+def exchanged(df):
+    """The columns of every exchange in the plan of ``df``, before it runs."""
+    plan = df._jdf.queryExecution().executedPlan()
+    found, left = [], [plan.initialPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan]
+    while left:
+        node = left.pop()
+        if "Exchange" in node.nodeName():
+            found.append(node.output().mkString(","))
+        left += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_no_text_in_an_exchange(spark, sf, tmp_path, monkeypatch):
+    """Of all that is written or returned, no exchange carries text."""
+    path = str(tmp_path / "reviews")
+    fx.reviews(spark, sf).write.parquet(path)
+    columns = []
+    stored = features.stored_as
+    monkeypatch.setattr(features, "stored_as", lambda df, *a: columns.append(exchanged(df)) or stored(df, *a))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        reviews = spark.read.parquet(path)
+        features.hashed_frames(reviews)
+        texts = exchanged(features.text_frames(reviews))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert any("text#" in c for c in texts)
+    assert [bool(c) for c in columns] == [False, True, True]
+    assert not any("reviewText#" in c or "text#" in c for plan in columns for c in plan)
+    assert any("text_only#" in c for c in columns[2])
+
+
+def test_every_fold_of_every_frame_holds_both_classes(spark, sf):
+    rare = fx.reviews(spark, sf).withColumn("label", (F.col("reviewID") % 10 > 0).cast("double"))
+    for independent in (False, True):
+        for frame in features.model_frames(rare, folds=3, independent_splits=independent):
+            held = frame.train.groupBy("fold").agg(F.collect_set("label").alias("labels"), F.count("*").alias("n")).collect()
+            assert sorted(r["fold"] for r in held) == [0, 1, 2]
+            assert all(sorted(r["labels"]) == [0.0, 1.0] for r in held)
+            assert max(r["n"] for r in held) - min(r["n"] for r in held) <= 2
+    docs = fx.labeled_documents(spark, sf)
+    lines = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("value"), F.col("quality").alias("label"))
+    held = features.corpus_frame(lines, folds=3).train.groupBy("fold").agg(F.collect_set("label").alias("labels")).collect()
+    assert all(len(r["labels"]) == 2 for r in held)
+
+
+def test_folds_by_key_stay_an_option(spark, sf):
+    reviews = fx.reviews(spark, sf)
+    frame = features.model_frames(reviews, fold_by="key")[0]
+    by_key = features.fold_number("reviewID", features.FOLDS)
+    assert frame.rows.where(F.col("fold") != by_key).isEmpty()
+    with pytest.raises(ValueError, match="fold_by"):
+        features.model_frames(reviews, fold_by="row")
