@@ -173,6 +173,8 @@ class ModelFrame:
     dataset: str
     rows: DataFrame
     idf: IDFModel
+    # Training rows that are kept for several fits.
+    at_hand: DataFrame | None = None
 
     @property
     def train(self) -> DataFrame:

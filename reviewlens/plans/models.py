@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack, contextmanager
+from dataclasses import replace
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import (
     LinearSVC,
@@ -59,6 +61,16 @@ def kept(df: DataFrame):
         df.unpersist()
 
 
+@contextmanager
+def training_rows(frame: ModelFrame) -> Iterator[DataFrame]:
+    """(label, features, fold) of the training part, at hand while a fit iterates over them."""
+    if frame.at_hand is not None:
+        yield frame.at_hand
+    else:
+        with kept(frame.train.select("label", "features", "fold")) as rows:
+            yield rows
+
+
 def check_classes(train: DataFrame) -> None:
     """Fail with a plain message unless the training rows hold two classes."""
     if train.select("label").distinct().limit(2).count() < 2:
@@ -109,7 +121,7 @@ def train_and_evaluate(
         raise ValueError("align must be None or 'majority'")
     reports = []
     for frame in frames:
-        with kept(frame.train.select("label", "features")) as train:
+        with training_rows(frame) as train:
             check_classes(train)
             model = LEARNERS[name]().fit(train)
         predicted = predict(model, frame.test)
@@ -180,7 +192,7 @@ def cross_validate(
             parallelism=parallelism,
             seed=SEED,
         )
-        with kept(frame.train.select("label", "features", "fold")) as train:
+        with training_rows(frame) as train:
             check_classes(train)
             model = search.fit(train).bestModel.stages[0]
         metrics = classification_metrics(predict(model, frame.test))
@@ -200,11 +212,44 @@ def rf_cv(frames: Sequence[ModelFrame], **options) -> DataFrame:
     return cross_validate("random_forest", frames, **options)
 
 
-def run_all(frames: Sequence[ModelFrame], path: str | None = None) -> DataFrame:
+def run_named(
+    frames: Sequence[ModelFrame], work: dict[str, Callable[[], DataFrame]], parallelism: int
+) -> list[DataFrame]:
+    """Results of all jobs in order, some at a time, each in a job group of its name.
+
+    All jobs are run; if any failed, the error names each of them.
+    """
+    spark = frames[0].rows.sparkSession
+
+    @inheritable_thread_target(spark)
+    def run(name: str) -> DataFrame:
+        spark.sparkContext.setJobGroup(name, name)
+        return work[name]()
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        futures = {name: pool.submit(run, name) for name in work}
+    failed = {name: f.exception() for name, f in futures.items() if f.exception() is not None}
+    if failed:
+        reasons = "; ".join(f"{name}: {error}" for name, error in failed.items())
+        raise RuntimeError(f"runs failed: {reasons}") from next(iter(failed.values()))
+    return [f.result() for f in futures.values()]
+
+
+def run_all(
+    frames: Sequence[ModelFrame], path: str | None = None, parallelism: int = 2
+) -> DataFrame:
     """The report of all eight runs, written to ``path`` if given.
 
-    Five learners as they are, and three chosen by cross-validation over full grids.
+    Five learners as they are, and three chosen by cross-validation over full grids. The
+    training rows of a frame are kept once for all of them, and ``parallelism`` runs go on
+    at a time.
     """
-    runs = [train_and_evaluate(name, frames) for name in LEARNERS]
-    runs += [cross_validate(name, frames) for name in GRIDS]
+    with ExitStack() as held:
+        rows = [
+            replace(f, at_hand=held.enter_context(kept(f.train.select("label", "features", "fold"))))
+            for f in frames
+        ]
+        work = {f"{name} plain": lambda n=name: train_and_evaluate(n, rows) for name in LEARNERS}
+        work |= {f"{name} cv": lambda n=name: cross_validate(n, rows) for name in GRIDS}
+        runs = run_named(frames, work, parallelism)
     return metrics_report(runs, path)

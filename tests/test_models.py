@@ -189,3 +189,24 @@ def test_run_all_is_one_row_per_run_frame_and_metric(frames, monkeypatch, tmp_pa
     report = models.run_all(frames, str(tmp_path / "report"))
     keys = {(r["model"], r["variant"], r["dataset"], r["metric"]) for r in report.collect()}
     assert report.count() == len(keys) == 2 * 2 * len(METRICS)
+
+
+def test_run_all_keeps_the_rows_of_a_frame_once(frames, monkeypatch):
+    monkeypatch.setattr(models, "LEARNERS", {n: models.LEARNERS[n] for n in ("naive_bayes", "linear_svc")})
+    monkeypatch.setattr(models, "GRIDS", {"naive_bayes": {"smoothing": [1.0]}})
+    calls, keep = [], models.kept
+    monkeypatch.setattr(models, "kept", lambda df: calls.append(df.columns) or keep(df))
+    report = models.run_all(frames)
+    assert calls == [["label", "features", "fold"]] * 2
+    runs = {(r["model"], r["variant"]) for r in report.collect()}
+    assert runs == {("naive_bayes", "plain"), ("linear_svc", "plain"), ("naive_bayes", "cv")}
+
+
+def test_failed_runs_are_named(frames, monkeypatch):
+    def fail():
+        raise ValueError("no learner")
+
+    monkeypatch.setattr(models, "LEARNERS", {"naive_bayes": models.LEARNERS["naive_bayes"], "a": fail, "b": fail})
+    monkeypatch.setattr(models, "GRIDS", {})
+    with pytest.raises(RuntimeError, match="a plain: no learner; b plain: no learner"):
+        models.run_all(frames)
