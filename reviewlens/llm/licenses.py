@@ -5,7 +5,8 @@ template word is counted over all documents; in a file, the words of a template
 are rarest in the corpus are looked up, one position more than may be out of place,
 and each posting votes for the place where the template would start. A place counts
 when enough template words stand at their relative positions and every mandatory key
-phrase is there. Base phrases are templates too: their rarest word is looked up wherever
+phrase is there. Short declarations must stand word by word; of findings of one label, one
+inside another is not listed. Base phrases are templates too: their rarest word is looked up wherever
 it stands, and all words must match.
 
 Defined results: null and empty texts have no words, no labels and score 0; rows that
@@ -80,6 +81,45 @@ TEMPLATES = {
         ("unencumbered software", "public domain"),
     ),
 }
+# Short declarations: these words must all stand there, one after the other.
+DECLARATIONS = {
+    "apache-2.0": ("apache license version 2 0", "apache license 2 0", "license identifier apache 2 0"),
+    "gpl-2.0": (
+        "gnu general public license version 2", "license identifier gpl 2 0", "gnu gpl version 2", "gplv2",
+    ),
+    "gpl-3.0": (
+        "gnu general public license version 3", "license identifier gpl 3 0", "gnu gpl version 3", "gplv3",
+    ),
+    "lgpl": ("license identifier lgpl", "gnu lgpl", "lgplv2", "lgplv3"),
+    "agpl": ("license identifier agpl", "gnu agpl", "agplv3"),
+    "cc-by-4.0": (
+        "under cc by 4 0", "creative commons attribution 4 0", "license identifier cc by 4 0",
+    ),
+    "cc-by-sa": ("creative commons attribution sharealike", "license identifier cc by sa"),
+    "cc-by-nc": ("creative commons attribution noncommercial", "license identifier cc by nc"),
+    "cc-by-nd": ("creative commons attribution noderivatives", "license identifier cc by nd"),
+    "cc0": ("license identifier cc0", "creative commons zero"),
+    "mit": ("mit license", "license identifier mit"),
+    "bsd": ("bsd license", "bsd 2 clause", "bsd 3 clause", "2 clause bsd", "3 clause bsd"),
+    "mpl-2.0": (
+        "mozilla public license version 2 0", "mozilla public license 2 0", "license identifier mpl 2 0",
+    ),
+    "isc": ("isc license", "license identifier isc"),
+    "unlicense": ("license identifier unlicense",),
+}
+# Notices that name the version apart from the licence, with their key phrases.
+NOTICES = {
+    "gpl-2.0": (
+        "the gnu general public license as published by the free software foundation "
+        "either version 2 of the license or at your option any later version",
+        ("gnu general public license", "version 2"),
+    ),
+    "gpl-3.0": (
+        "the gnu general public license as published by the free software foundation "
+        "either version 3 of the license or at your option any later version",
+        ("gnu general public license", "version 3"),
+    ),
+}
 # Share of template words that must stand in place.
 MIN_SHARE = 0.75
 
@@ -103,12 +143,26 @@ def _template(label: str, text: str, keys: tuple[str, ...], base: bool) -> Templ
     return Template(label, tuple(words_of(text)), tuple(tuple(words_of(k)) for k in keys), base)
 
 
-def all_templates(base=BASE, templates=TEMPLATES) -> list[Template]:
-    return [_template(label, phrase, (), True) for phrase, label in base.items()] + [
-        _template(label, text, keys, False) for label, (text, keys) in templates.items()
+def all_templates(
+    base=BASE, templates=TEMPLATES, declarations=DECLARATIONS, notices=NOTICES
+) -> list[Template]:
+    return [
+        *(_template(label, phrase, (), True) for phrase, label in base.items()),
+        *(_template(label, text, keys, False) for label, (text, keys) in templates.items()),
+        *(_template(label, text, keys, False) for label, (text, keys) in notices.items()),
+        *(_template(label, text, (text,), False) for label, texts in declarations.items() for text in texts),
     ]
 
 
+def _widest(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """(label, first word, words) without those inside another of the same label."""
+    out: list[tuple[str, int, int]] = []
+    for label, start, size in sorted(spans, key=lambda s: (s[0], s[1], -s[2])):
+        if not out or out[-1][0] != label or start + size > out[-1][1] + out[-1][2]:
+            out.append((label, start, size))
+    return out
+
+
 def document_counts(rows: DataFrame, vocabulary: set[bytes]) -> tuple[int, dict[bytes, int]]:
     """(documents, word -> documents that hold it) over all rows of (doc_id, text).
 
@@ -174,7 +228,7 @@ class Scanner:
                     starts[t].update(at - offset for at in places[word])
         base: list[tuple[int, str]] = []
         labels: set[str] = set()
-        spans: list[str] = []
+        spans: list[tuple[str, int, int]] = []
         score = 0.0
         for t, found in starts.items():
             template = self.templates[t]
@@ -185,16 +239,17 @@ class Scanner:
                         base.append((start, template.label))
                 elif share >= MIN_SHARE and self._has_keys(words, template, start):
                     labels.add(template.label)
-                    spans.append(f"{template.label}:{max(start, 0)}:{len(template.words)}")
+                    spans.append((template.label, max(start, 0), len(template.words)))
                     score = max(score, share)
         base_labels = {label for _, label in base}
         if base:
             score = 1.0
-            spans += [f"{label}:{at}:0" for at, label in sorted(base)]
         at = [a for a, _ in base]
+        said = [f"{label}:{start}:{size}" for label, start, size in _widest(spans)]
+        said += [f"{label}:{a}:0" for a, label in sorted(base)]
         return (
             len(words), len(base), min(at, default=None), max(at, default=None),
-            ",".join(sorted(base_labels)), ",".join(sorted(base_labels | labels)), score, spans,
+            ",".join(sorted(base_labels)), ",".join(sorted(base_labels | labels)), score, said,
         )
 
     @staticmethod
@@ -215,11 +270,15 @@ class Scanner:
 
 
 def scan_licenses(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", base=BASE, templates=TEMPLATES
+    docs: DataFrame, key: str = "doc_id", text: str = "text", base=BASE, templates=TEMPLATES,
+    declarations=DECLARATIONS, notices=NOTICES,
 ) -> DataFrame:
-    """(doc_id and FIELDS) per row; ``spans`` are label:first word:words of each finding."""
+    """(doc_id and FIELDS) per row; ``spans`` are label:first word:words of each finding.
+
+    Template words are counted over all documents, by a job, when this is called.
+    """
     rows = narrow(docs, key, text)
-    known = all_templates(base, templates)
+    known = all_templates(base, templates, declarations, notices)
     counts = document_counts(rows, {w for t in known for w in t.words})
 
     def make():

@@ -76,7 +76,8 @@ def op9_quality_classifier(spark, sf):
 
 
 def op10_quality_rules(spark, sf):
-    return rules.compression_rules(table(spark, sf, "documents"))
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    return rules.compression_rules(docs, labels=labels)
 
 
 def op11_prefix_trie(spark, sf):
