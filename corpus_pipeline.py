@@ -1,4 +1,11 @@
-"""Documents to token digests: toxic texts and copies go, sources are mixed, the rest is encoded."""
+"""Documents to token digests: toxic texts and copies go, sources are mixed, the rest is encoded.
+
+Every stage keeps the columns of ``documents``, of which it reads doc_id, text and source,
+and n_chars, which the mix counts anew. Defined results: a null text is an empty one, which
+the toxicity network never rejects; of null and empty texts one stays, as of any equal
+texts; a row without id is kept by the first and third stage and stands behind all ids in
+the second; rows that repeat are copies; an empty table gives no rows in any stage.
+"""
 
 from __future__ import annotations
 
@@ -21,8 +28,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of every component of similar texts, as op8 defines them."""
-    return similarity.drop_similar(docs)
+    """The first document of every component of near copies: five words, 80 percent."""
+    return similarity.drop_similar(docs, n=5, percent=80)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
