@@ -43,6 +43,8 @@ RELATIONAL = [
     "string_index",
     "nb_aggregates",
     "nb_predict",
+    "nb_cv_relational",
+    "string_index_applied",
     "classification_metrics",
     "wssse",
 ]
@@ -51,6 +53,8 @@ TRAINED = [
     "kmeans_train_eval",
     "rf_train_eval",
     "lsvc_train_eval",
+    "mlp_train_eval",
+    "nb_cv",
     "read_line_corpus",
 ]
 
