@@ -76,16 +76,20 @@ def linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(one) + len(two) - shared)
 
 
-def join_trees(one: Tree, two: Tree | None, percent: int) -> Iterator[tuple[int, int]]:
+def join_trees(
+    one: Tree, two: Tree | None, percent: int, labels: np.ndarray | None = None
+) -> Iterator[tuple[int, int]]:
     """Pairs (i, j) that link all sets of ``one`` and ``two``, or of ``one`` alone.
 
     Every similar pair ends up connected: a pair of nodes is left out if its sets cannot
-    reach the similarity, or if all of them are connected already.
+    reach the similarity, or if all of them are connected already. ``labels`` are those of
+    the sets of both trees, equal where sets are connected before; they are updated.
     """
     self_join = two is None
     two = one if self_join else two
     shift = 0 if self_join else len(one.sets)
-    labels = np.arange(shift + len(two.sets))
+    if labels is None:
+        labels = np.arange(shift + len(two.sets))
 
     def connected(a: tuple[int, int], b: tuple[int, int]) -> bool:
         first = labels[a[0]]

@@ -1,10 +1,13 @@
 """N-gram Jaccard join with signature trees, and its connected components.
 
-Sets that can reach the similarity must differ in few shingles. Shingles are dealt into
-more parts than that, by hash and by a size level, so two such sets agree on a whole
-part. Part contents serve as keys: sets that share a key, directly or through others,
-form a cluster, and no link leaves a cluster. Inside a cluster, cut into blocks, signature
-trees are traversed in pairs and every remaining candidate is checked on the sets.
+Sets that reach the similarity share most shingles, hence also some of the rarest ones of
+either: every set keeps only as many of its rarest shingles as no similar set can miss.
+Which are rare is counted over all documents, so a passage that many texts share ties
+nothing together while the rest of a text is its own. Sets that share a kept shingle,
+directly or through others, form a cluster, and no link leaves a cluster. Clusters are cut
+into blocks of sets. Neighbouring blocks meet first; after that a pair of blocks meets only
+if it holds sets of different components and its size ranges allow a link. Where blocks
+meet, signature trees are traversed in pairs and every candidate left is checked on the sets.
 
 A set is a set of 64-bit shingle hashes. Equal sets are one class from the start. Two
 sets that are connected already are not compared again: components are whole, but
@@ -30,14 +33,18 @@ from pyspark.sql import DataFrame, functions as F
 from reviewlens.llm.common import map_texts, narrow, unused
 from reviewlens.llm.components import components
 from reviewlens.llm.signature_tree import Tree, join_trees
+from reviewlens.operators.indexing import contiguous_index
 from reviewlens.sources.staging import stage
 
 SHINGLE_WORDS, PERCENT = 3, 90
 # Sets of a cluster that meet in one task, and twice that for two blocks of a cluster.
 BLOCK_SETS = 1024
 REMEMBERED = 300_000
+# Shingles in more sets than this are the most frequent class, whatever their number.
+HOT_ROWS = 4096
+HOT_CLASS = 13
 
-_K1, _K2, _K3 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+_K1 = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _scramble(x: np.ndarray) -> np.ndarray:
@@ -76,49 +83,23 @@ class Shingler:
         return np.unique(mixed)
 
 
-def levels(percent: int, most: int) -> list[int]:
-    """Largest size of each level, for sizes up to ``most``; each is half as much again.
-
-    A set has partners in its level or the next one only.
-    """
-    bounds = [max(1, percent // (100 - percent))]
-    while bounds[-1] < most:
-        bounds.append(max(bounds[-1] * 3 // 2, -(-100 * bounds[-1] // percent) + 1))
-    return bounds
-
-
-def _level_keys(shingles: np.ndarray, level: int, high: int, percent: int) -> np.ndarray:
-    """Keys of the parts of a set at a level whose largest size is ``high``."""
-    size, rest = len(shingles), 100 - percent
-    differ = 2 * high * rest // (100 + percent)
-    parts = differ + 3
-    part = ((shingles >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-    starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-    content = np.add.reduceat(_scramble(shingles * _K2 + _K3), starts)
-    used = part[starts]
-    # Sets that differ in at most this many shingles agree on a part that is not empty,
-    # unless too many are empty; then the empty parts serve as keys too.
-    at_most = min(size * rest // percent, differ)
-    if parts - len(used) > parts - 1 - at_most:
-        empty = np.setdiff1d(np.arange(parts), used)
-        used = np.concatenate([used, empty])
-        content = np.concatenate([content, np.zeros(len(empty), np.uint64)])
-    number = used.astype(np.uint64) + np.uint64(level << 40)
-    return _scramble(content ^ _scramble(number * _K3 + _K1))
+def needed(sizes, percent: int):
+    """Least number of `set_keys` that a set of a size shares with any similar set."""
+    shared = -(-percent * sizes // 100)
+    return shared - shared // 3
 
 
 def set_keys(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Keys of which two sets share one if their similarity reaches ``percent``."""
+    """The first shingles of a set in hash order; similar sets share `needed` of them or more.
+
+    A set of s shingles shares at least o = percent * s / 100, rounded up, with a similar
+    one. Leaving the last o / 3 of either out costs as many shared ones at most, and this
+    bound grows with s, so each of two sets may use its own.
+    """
     size = len(shingles)
-    largest = 100 * size // percent  # size of a partner
-    if largest == size:
-        return np.zeros(0, np.uint64)  # one shingle more or less is too much
-    bounds = levels(percent, largest + 1)
-    own = next(i for i, high in enumerate(bounds) if size <= high)
-    found = [_level_keys(shingles, own, bounds[own], percent)]
-    if largest > bounds[own]:
-        found.append(_level_keys(shingles, own + 1, bounds[own + 1], percent))
-    return np.concatenate(found)
+    if 100 * size // percent == size:
+        return shingles[:0]  # one shingle more or less is too much
+    return shingles[: size - -(-percent * size // 100) // 3]
 
 
 def set_id(shingles: np.ndarray) -> bytes:
@@ -126,10 +107,22 @@ def set_id(shingles: np.ndarray) -> bytes:
 
 
 def described(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, set_id, node, keys) of (doc_id, text) rows."""
+    """(doc_id, n_shingles, set_id, node, keys) of (doc_id, text) rows.
+
+    A task gives the keys of equal sets once as a rule, so copies do not multiply them.
+    """
 
     def make():
         shingler = Shingler(n)
+        seen: set[bytes] = set()
+
+        def keys(known: bytes | None, shingles: np.ndarray):
+            if known is None or known in seen:
+                return None
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            seen.add(known)
+            return set_keys(shingles, percent).view(np.int64)
 
         def each(texts: list[str]):
             sets = [shingler(t) for t in texts]
@@ -137,7 +130,7 @@ def described(rows: DataFrame, n: int, percent: int) -> DataFrame:
             return [
                 [len(s) for s in sets], ids,
                 [int.from_bytes(i[:8], "little", signed=True) if i else None for i in ids],
-                [set_keys(s, percent).view(np.int64) for s in sets],
+                [keys(i, s) for i, s in zip(ids, sets)],
             ]
 
         return each
@@ -146,13 +139,101 @@ def described(rows: DataFrame, n: int, percent: int) -> DataFrame:
     return map_texts(rows, make, fields)
 
 
-def _key_edges(sets: DataFrame) -> DataFrame:
+def _shared_keys(sets: DataFrame) -> DataFrame:
+    """(node, rank) of the keys that several sets have; rarer keys have smaller ranks.
+
+    A rank is the order of magnitude of the number of sets, then the key. One range sort by
+    key and set, so the sets of a frequent key spread over several partitions. The first and
+    last key of a partition may go on in others and count as most frequent everywhere: any
+    order that all sets share is right, and these are two keys a partition.
+    """
+    pairs = sets.where("keys is not null").select(F.explode("keys").alias("key"), "node")
+    ordered = pairs.repartitionByRange("key", "node").sortWithinPartitions("key", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, nodes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        hot: list[int] = []
+
+        def ranked(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            counts = np.diff(np.append(starts, len(keys)))
+            most = np.isin(keys[starts], hot) | (counts > HOT_ROWS)
+            kind = np.where(most, HOT_CLASS, np.log2(counts).astype(np.int64))
+            rank = np.repeat(kind << 58, counts) | (keys.view(np.uint64) >> np.uint64(6)).view(np.int64)
+            shared = np.repeat(most | (counts > 1), counts)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(nodes[shared]), pa.array(rank[shared])], names=["node", "rank"]
+            )
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.concatenate([keys, batch.column(0).to_numpy()])
+            nodes = np.concatenate([nodes, batch.column(1).to_numpy()])
+            new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])])
+            keys, nodes = keys[new], nodes[new]
+            if not hot:
+                hot.append(keys[0])
+            # The last key may go on in the next batch.
+            done = int(np.searchsorted(keys, keys[-1]))
+            if len(keys) - done > HOT_ROWS:
+                hot.append(keys[-1])
+                done = len(keys) - 1
+            if done:
+                yield ranked(keys[:done], nodes[:done])
+                keys, nodes = keys[done:], nodes[done:]
+        if len(keys):
+            hot.append(keys[-1])
+            yield ranked(keys, nodes)
+
+    return ordered.mapInArrow(run, "node bigint, rank bigint")
+
+
+def rare_keys(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, node): the rarest keys of every set, of which similar sets share one.
+
+    Of the keys of two similar sets at least ``m`` are the same, so all but the m - 1 most
+    frequent ones are enough; a set with fewer than m shared keys has no partner.
+    """
+    # A negative rank brings the size of a set before its keys.
+    sizes = sets.groupBy("node").agg((-F.min("n_shingles")).alias("rank"))
+    rows = _shared_keys(sets).unionByName(sizes)
+    ordered = rows.repartition("node").sortWithinPartitions("node", "rank")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes, ranks = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+        def chosen(nodes: np.ndarray, ranks: np.ndarray) -> pa.RecordBatch:
+            starts = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1]]))
+            counts = np.diff(np.append(starts, len(nodes)))
+            keep = counts - needed(-ranks[starts], percent)
+            at = np.arange(len(nodes)) - np.repeat(starts, counts)
+            kept = (at > 0) & (at <= np.repeat(keep, counts))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(ranks[kept]), pa.array(nodes[kept])], names=["key", "node"]
+            )
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            nodes = np.concatenate([nodes, batch.column(0).to_numpy()])
+            ranks = np.concatenate([ranks, batch.column(1).to_numpy()])
+            done = int(np.searchsorted(nodes, nodes[-1]))
+            if done:
+                yield chosen(nodes[:done], ranks[:done])
+                nodes, ranks = nodes[done:], ranks[done:]
+        if len(nodes):
+            yield chosen(nodes, ranks)
+
+    return stage(ordered.mapInArrow(run, "key bigint, node bigint"), "rare")
+
+
+def _key_edges(pairs: DataFrame) -> DataFrame:
     """(a, b): every set that shares a key is tied to the first set with that key.
 
     One range sort by key and set, so the sets of a frequent key spread over several
     partitions; the keys at the borders of partitions are tied together afterwards.
     """
-    pairs = sets.select(F.explode("keys").alias("key"), "node")
     ordered = pairs.repartitionByRange("key", "node").sortWithinPartitions("key", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,32 +268,81 @@ def _key_edges(sets: DataFrame) -> DataFrame:
     return tied.where("key is null").select("a", "b").unionByName(across)
 
 
-def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b): pairs of first ids that connect all similar sets of a cluster."""
-    clusters = components(_key_edges(sets))
+def cluster_members(sets: DataFrame, percent: int) -> DataFrame:
+    """(root, set_id, rep, size, lead): different sets that may have links, by cluster."""
+    clusters = components(_key_edges(rare_keys(sets, percent)))
     members = (
-        sets.join(clusters, "node").where("doc_id is not null")
-        .groupBy("root", "set_id").agg(F.min("doc_id").alias("rep"))
+        sets.join(clusters, "node").where("doc_id is not null").groupBy("root", "set_id")
+        .agg(
+            F.min("doc_id").alias("rep"), F.min("n_shingles").alias("size"),
+            F.min(F.get("keys", F.lit(0))).alias("lead"),
+        )
     )
-    members = stage(members, "members")
-    sizes = members.groupBy("root").agg(F.count("*").alias("sets")).where("sets > 1")
-    blocks = F.ceil(F.col("sets") / BLOCK_SETS).cast("int")
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    placed = (
-        members.join(sizes.select("root", blocks.alias("blocks")), "root")
-        .select("root", "set_id", "rep", "blocks", own.alias("own"))
+    return stage(members, "members")
+
+
+def _blocks(members: DataFrame, first: str) -> DataFrame:
+    """``members`` of clusters of two sets or more, with ``own`` block and number of ``blocks``.
+
+    Blocks are cut along the order of ``first`` and size.
+    """
+    placed = contiguous_index(members, ["root", first, "size", "set_id"], "at")
+    clusters = placed.groupBy("root").agg(F.min("at").alias("start"), F.count("*").alias("sets"))
+    clusters = clusters.where("sets > 1").select(
+        "root", "start", F.ceil(F.col("sets") / BLOCK_SETS).cast("int").alias("blocks")
     )
-    # Members grow with the documents, so they are joined by key at every size.
-    texts = docs.join(placed.hint("merge"), F.col("doc_id") == F.col("rep")).select(
-        "root", "set_id", "rep", "own", "blocks", "text"
+    own = F.floor((F.col("at") - F.col("start")) / BLOCK_SETS).cast("int").alias("own")
+    return placed.join(clusters, "root").select(*members.columns, "blocks", own)
+
+
+def block_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """(root, x, y): blocks of a cluster that may hold similar sets of different components.
+
+    Blocks inside the component with most blocks of a cluster are the main ones; no two of
+    those need to meet, so only the others are joined with all blocks of their cluster.
+    """
+    blocks = stage(
+        placed.groupBy("root", "own").agg(
+            F.min("size").alias("low"), F.max("size").alias("high"),
+            F.min("label").alias("label"), F.max("label").alias("last"),
+        ),
+        "blocks",
+    )
+    most = (
+        blocks.where("label = last").groupBy("root", "label").count()
+        .groupBy("root").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
+    )
+    known = blocks.join(most, "root", "left").withColumn(
+        "main", F.coalesce((F.col("label") == F.col("last")) & (F.col("label") == F.col("main")), F.lit(False))
+    )
+    one, two = known.where("not main").alias("one"), known.alias("two")
+    meets = (
+        (F.col("one.root") == F.col("two.root"))
+        & (F.col("two.main") | (F.col("one.own") <= F.col("two.own")))
+        & (100 * F.col("one.high") >= percent * F.col("two.low"))
+        & (100 * F.col("two.high") >= percent * F.col("one.low"))
+        & (
+            (F.col("one.label") != F.col("one.last"))
+            | (F.col("two.label") != F.col("two.last"))
+            | (F.col("one.label") != F.col("two.label"))
+        )
     )
-    # A block meets itself and every other block of its cluster.
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    meeting = texts.select("*", other).select(
-        "root", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-        "own", "rep", "set_id", "text",
+    return one.join(two, meets).select(
+        "one.root", F.least("one.own", "two.own").alias("x"), F.greatest("one.own", "two.own").alias("y")
     )
-    ordered = meeting.repartition("root", "x", "y").sortWithinPartitions("root", "x", "y", "own", "rep")
+
+
+def _compare(docs: DataFrame, meeting: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b): links between the sets that meet, of different labels, up to connection.
+
+    ``meeting`` has (root, x, y, side, rep, set_id, label). Where x = y the sets of side 0
+    meet one another too, otherwise only those of the other side.
+    """
+    # Members grow with the documents, so they are joined by key at every size.
+    texts = docs.join(meeting.hint("merge"), F.col("doc_id") == F.col("rep")).select(
+        "root", "x", "y", "side", "rep", "set_id", "label", "text"
+    )
+    ordered = texts.repartition("root", "x", "y").sortWithinPartitions("root", "x", "y", "side", "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n)
@@ -225,11 +355,11 @@ def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
 
         for (_, x, y), group in groupby(rows(), key=lambda r: r[:3]):
             sides: tuple[list, list] = ([], [])
-            for _, _, _, own, rep, known, text in group:
+            for _, _, _, side, rep, known, label, text in group:
                 shingles = shingler(text)
                 # Rows may share an id; the wanted one has the set that is known.
                 if set_id(shingles) == known:
-                    sides[own != x].append((int(shingles[0]), rep, shingles))
+                    sides[side].append((int(shingles[0]), rep, shingles, label))
             found = list(_tree_links(sides, x == y, percent))
             columns = [pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
@@ -237,14 +367,44 @@ def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     return stage(ordered.mapInArrow(run, "a bigint, b bigint"), "similar")
 
 
-def _tree_links(sides, same: bool, percent: int) -> Iterator[tuple[int, int]]:
+def _tree_links(sides, within: bool, percent: int) -> Iterator[tuple[int, int]]:
     # Similar sets mostly share their smallest hash, so they stand together in the tree.
-    ordered = [sorted(s, key=lambda m: (m[0], len(m[2]), m[1])) for s in sides]
-    trees = [Tree([m[2] for m in s]) for s in ordered]
-    pairs = join_trees(trees[0], None if same else trees[1], percent)
-    right = ordered[0] if same else ordered[1]
-    for i, j in pairs:
-        yield ordered[0][i][1], right[j][1]
+    left, right = (sorted(s, key=lambda m: (m[0], len(m[2]), m[1])) for s in sides)
+    one, two = Tree([m[2] for m in left]), Tree([m[2] for m in right])
+    labels = np.unique([m[3] for m in left + right], return_inverse=True)[1]
+    if within:
+        for i, j in join_trees(one, None, percent, labels[: len(left)]):
+            yield left[i][1], left[j][1]
+    if right:
+        for i, j in join_trees(one, two, percent, labels):
+            yield left[i][1], right[j][1]
+
+
+def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b): pairs of first ids that connect all similar sets of a cluster."""
+    members = cluster_members(sets, percent)
+    placed = stage(_blocks(members, "lead"), "placed")
+    # A block meets itself and the next one; that is all for clusters of two blocks.
+    groups = F.when(F.col("own") > 0, F.array("own", F.col("own") - 1)).otherwise(F.array("own"))
+    near = placed.select("*", F.explode(groups).alias("x")).select(
+        "root", "x", F.col("x").alias("y"), (F.col("own") - F.col("x")).alias("side"),
+        "rep", "set_id", F.col("rep").alias("label"),
+    )
+    links = _compare(docs, near, n, percent)
+    large = placed.where("blocks > 2").drop("own", "blocks")
+    if large.isEmpty():
+        return links
+    labels = components(links)
+    large = large.join(labels, F.col("rep") == F.col("node"), "left").select(
+        placed["root"], "set_id", "rep", "size", F.coalesce(labels["root"], "rep").alias("label")
+    )
+    placed = stage(_blocks(large, "label"), "placed")
+    pairs = stage(block_pairs(placed, percent), "pairs")
+    sides = pairs.select("*", F.col("x").alias("own"), F.lit(0).alias("side")).unionByName(
+        pairs.where("x < y").select("*", F.col("y").alias("own"), F.lit(1).alias("side"))
+    )
+    far = placed.join(sides, ["root", "own"]).select("root", "x", "y", "side", "rep", "set_id", "label")
+    return links.unionByName(_compare(docs, far, n, percent))
 
 
 def similar_components(

@@ -10,6 +10,7 @@ import pytest
 from reviewlens.llm import similarity
 from reviewlens.llm.components import components
 from reviewlens.llm.signature_tree import Tree, join_trees, linked
+from reviewlens.sources.staging import stage
 
 
 def shingles(text, n):
@@ -109,3 +110,70 @@ def test_components_of_a_chain(spark):
     df = spark.createDataFrame(edges, "a bigint, b bigint")
     found = {r.node: r.root for r in components(df).collect()}
     assert found == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 150: 150, 199: 150, 200: 150}
+
+
+def described(spark, texts, n, percent):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return df, stage(similarity.described(df, n, percent))
+
+
+def test_shared_passages_tie_nothing_together(spark):
+    """100 common and 50 own words: no set is left with a partner to be compared."""
+    rnd = random.Random(8)
+    common = " ".join(f"c{i}" for i in range(100))
+    texts = [f"{common} " + " ".join(f"o{rnd.random()}" for _ in range(50)) for _ in range(3000)]
+    df, sets = described(spark, texts, 5, 80)
+    assert similarity.cluster_members(sets, 80).count() < 150
+    found = similarity.similar_components(df, n=5, percent=80).collect()
+    assert all(r.component_id == r.doc_id for r in found)
+
+
+def test_large_clusters_meet_in_few_blocks(spark, monkeypatch):
+    """Near copies of one text: once neighbours have met, few blocks are left to meet."""
+    monkeypatch.setattr(similarity, "BLOCK_SETS", 10)
+    rnd = random.Random(9)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for _ in range(300):
+        words = list(base)
+        # Some stand off the others: linked with few or with none.
+        for _ in range(rnd.choice([0, 1, 1, 2, 3, 8])):
+            words[rnd.randrange(200)] = f"v{rnd.random()}"
+        texts.append(" ".join(words))
+    met = []
+    pairs = similarity.block_pairs
+    monkeypatch.setattr(similarity, "block_pairs", lambda *a: met.append(pairs(*a).count()) or pairs(*a))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r.component_id for r in similarity.similar_components(df, n=5, percent=80).collect()}
+    roots, _ = brute(texts, 5, 80)
+    assert [found[i] for i in range(len(texts))] == roots
+    assert len(met) == 1 and met[0] < 30 * 31 // 2 // 2
+
+
+def test_similar_sets_keep_enough_keys():
+    """Similar sets share `needed` keys of either at least."""
+    rng = np.random.default_rng(4)
+    for percent in (80, 90):
+        for size in [*range(4, 80), 301]:
+            base = np.unique(rng.integers(0, 2**64, size, np.uint64))
+            for _ in range(20):
+                other = rng.permutation(base)[int(rng.integers(0, size // 4 + 1)) :]
+                more = rng.integers(0, 2**64, int(rng.integers(0, size // 4 + 1)), np.uint64)
+                other = np.unique(np.concatenate([other, more]))
+                if np.array_equal(base, other) or not linked(base, other, percent):
+                    continue
+                same = np.intersect1d(similarity.set_keys(base, percent), similarity.set_keys(other, percent))
+                assert len(same) >= max(similarity.needed(len(s), percent) for s in (base, other))
+
+
+def test_hot_shared_shingles_are_ranked_alike(spark, monkeypatch):
+    """A shingle that is hot in one partition and not in the next has one rank."""
+    monkeypatch.setattr(similarity, "HOT_ROWS", 20)
+    rnd = random.Random(10)
+    common = [f"c{i}" for i in range(30)]
+    texts = [" ".join(common[rnd.randrange(3) :] + [f"o{rnd.randrange(60)}" for _ in range(rnd.choice([1, 2, 6]))]) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r.component_id for r in similarity.similar_components(df, n=2, percent=80).collect()}
+    roots, _ = brute(texts, 2, 80)
+    assert [found[i] for i in range(len(texts))] == roots
+    assert len(set(roots)) < len(roots)
