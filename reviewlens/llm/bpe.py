@@ -5,8 +5,8 @@ every adjacent pair is compatible, that is when merging the two alone gives just
 two back; all pairs of a batch are tested at once as integer codes. Only words with an
 incompatible pair go through exact merging.
 
-The tokenizer file (vocabulary, merges, special tokens, word-end mark) is read on the
-driver and broadcast; its size does not depend on the data. Texts stay where they are.
+The tokenizer file (vocabulary, merges, special tokens, word-end mark) and the library's
+letters are read on the driver and broadcast; their size does not depend on the data. Texts stay where they are.
 
 Defined results: null and empty texts have no tokens and decode to the empty text;
 strings of special tokens inside a text become those tokens, as the library does; rows
@@ -17,13 +17,16 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from array import array
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Regex, normalizers
 
 from reviewlens.llm.common import map_texts, narrow, shared_values
 
@@ -31,7 +34,7 @@ FIELDS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 # White space of the normaliser, pieces of the pre-tokenizer.
 _CHUNKS = regex.compile(r"[^\t-\r \x85\xa0  -     　]+")
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}]+")
+_PIECES = "'s|'t|'re|'ve|'m|'ll|'d|[{0}]+|[{1}]|[^{0}{1}]+"
 # Python's split() would also split at these.
 _CONTROLS = regex.compile(r"[\x1c-\x1f]")
 # Words remembered by one task.
@@ -46,6 +49,34 @@ class Vocabulary:
     ranks: dict[tuple[str, str], int]
     special: dict[str, int]
     end: str
+    letters: str
+    numbers: str
+    lower: dict[int, str]
+
+
+@cache
+def library_letters() -> tuple[str, str, dict[int, str]]:
+    """What the tokenizers library takes for letters and numbers, and its own lower case.
+
+    Its Unicode tables are of another version than Python's, so it is asked for every code
+    point, once on the driver. Letters and numbers come as ranges of a regular expression;
+    the lower case holds only the letters that Python lowers otherwise.
+    """
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+
+    def ranges(kind: str) -> str:
+        rest = normalizers.Replace(Regex(f"[{kind}]+"), "").normalize_str(every)
+        other = np.zeros(0x110000 + 1, bool)
+        other[0xD800:0xE000] = other[-1] = True
+        other[np.frombuffer(rest.encode("utf-32-le"), "<u4")] = True
+        edges = np.flatnonzero(np.diff(np.concatenate([[True], other]))).tolist()
+        return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2]))
+
+    alone = "\n".join(every.replace("\n", ""))
+    lowered = normalizers.Lowercase().normalize_str(alone)
+    pairs = zip(alone.split("\n"), lowered.split("\n"))
+    lower = {ord(c): low for c, low in pairs if low != c.lower()}
+    return ranges(r"\p{L}"), ranges(r"\p{N}"), lower
 
 
 def load_vocabulary(path: str) -> Vocabulary:
@@ -59,6 +90,7 @@ def load_vocabulary(path: str) -> Vocabulary:
         {tuple(p): rank for rank, p in enumerate(pairs)},
         {t["content"]: t["id"] for t in spec["added_tokens"]},
         model["end_of_word_suffix"] or "",
+        *library_letters(),
     )
 
 
@@ -91,6 +123,8 @@ class Encoder:
         self.exactly_merged = 0
         special = "|".join(map(regex.escape, vocabulary.special)) or r"(?!)"
         self.special = regex.compile(f"({special})")
+        self.pieces = re.compile(_PIECES.format(vocabulary.letters, vocabulary.numbers))
+        self.newer = re.compile("|".join(map(chr, vocabulary.lower)) or r"(?!)")
 
     # --- texts -------------------------------------------------------------
 
@@ -125,11 +159,14 @@ class Encoder:
 
     def _chunks(self, text: str) -> list[str]:
         # Lower-casing goes letter by letter: a sigma at a word's end is no exception.
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        if self.newer.search(text):
+            text = text.translate(self.vocabulary.lower)
+        text = text.lower()
         return _CHUNKS.findall(text) if _CONTROLS.search(text) else text.split()
 
     def _learn(self, chunks: list[str]) -> None:
-        pieces = {c: _PIECES.findall(c) for c in chunks}
+        pieces = {c: self.pieces.findall(c) for c in chunks}
         fresh = {w for found in pieces.values() for w in found if w not in self.words}
         self._encode_words(list(fresh))
         for chunk, found in pieces.items():

@@ -47,6 +47,19 @@ def test_bpe_equals_the_library(docs):
     assert 0 < encoder.exactly_merged < len(encoder.words)
 
 
+def test_bpe_takes_every_code_point_as_the_library_does():
+    """Letters, numbers and lower case are the library's, also where Python knows others."""
+    library = Tokenizer.from_file(TOKENIZER)
+    encoder = bpe.Encoder(bpe.load_vocabulary(TOKENIZER))
+    points = [*range(0xD800), *range(0xE000, 0x110000)]
+    texts = [
+        " ".join(f"a{chr(c)}b" for c in points[at : at + 64]) for at in range(0, len(points), 64)
+    ]
+    expected = library.encode_batch(texts, add_special_tokens=False)
+    for text, ids, right in zip(texts, encoder.encode(texts), expected):
+        assert np.frombuffer(ids, "<u4").tolist() == right.ids, text
+
+
 def test_bpe_documents_round_trip(docs):
     library = Tokenizer.from_file(TOKENIZER)
     encoded = bpe.encode_documents(docs, TOKENIZER)
