@@ -86,20 +86,20 @@ class Shingler:
 def needed(sizes, percent: int):
     """Least number of `set_keys` that a set of a size shares with any similar set."""
     shared = -(-percent * sizes // 100)
-    return shared - shared // 3
+    return shared - shared // 2
 
 
 def set_keys(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The first shingles of a set in hash order; similar sets share `needed` of them or more.
 
     A set of s shingles shares at least o = percent * s / 100, rounded up, with a similar
-    one. Leaving the last o / 3 of either out costs as many shared ones at most, and this
+    one. Leaving the last o / 2 of either out costs as many shared ones at most, and this
     bound grows with s, so each of two sets may use its own.
     """
     size = len(shingles)
     if 100 * size // percent == size:
         return shingles[:0]  # one shingle more or less is too much
-    return shingles[: size - -(-percent * size // 100) // 3]
+    return shingles[: size - -(-percent * size // 100) // 2]
 
 
 def set_id(shingles: np.ndarray) -> bytes:
