@@ -17,13 +17,14 @@ class 1; rows that repeat are rows of their own; an empty table gives no rows.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reviewlens.llm.common import map_texts, narrow, shared_values, unused
+from reviewlens.llm.common import ROWS_AT_ONCE, map_texts, narrow, shared_values
 
 FOLDS, HELD_FOLD = 5, 0
 THRESHOLD = 0.5
@@ -411,14 +412,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network:
 def drop_toxic(docs: DataFrame, net: Network, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` that score below ``threshold``, with all their columns."""
     shared = shared_values(docs.sparkSession, net)
-    score = unused(docs, "toxicity_score")
+    at = docs.columns.index("text")
 
-    def make():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(Network(**shared.value))
-        return lambda texts: [scorer(texts)]
-
-    # The text travels beside the row, as no column of the row may be lost or renamed.
-    row = F.struct(*docs.columns).alias("row")
-    whole = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    scored = map_texts(docs.select(row, whole), make, f"{score} double", ("row",))
-    return scored.where(F.col(score) < threshold).select("row.*")
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                scores = scorer([t or "" for t in part.column(at).to_pylist()])
+                yield part.filter(pa.array([s < threshold for s in scores]))
+
+    # Whole rows go through the network's tasks once; columns are told apart by place.
+    return docs.mapInArrow(run, docs.schema)
