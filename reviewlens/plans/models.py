@@ -11,7 +11,6 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import (
     LinearSVC,
-    MultilayerPerceptronClassifier,
     NaiveBayes,
     RandomForestClassifier,
 )
@@ -24,6 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from reviewlens.operators.clusters import majority_labels, sparse_wssse
 from reviewlens.operators.metrics import classification_metrics, metrics_report
+from reviewlens.operators.perceptron import SparsePerceptron
 from reviewlens.plans.features import FOLDS, ModelFrame, stored_as
 from reviewlens.schema import HASH_FEATURES
 
@@ -38,7 +38,7 @@ LEARNERS: dict[str, Callable[[], Estimator]] = {
         impurity="gini", numTrees=10, maxDepth=10, maxBins=32, seed=SEED
     ),
     "linear_svc": lambda: LinearSVC(maxIter=10, regParam=0.5),
-    "perceptron": lambda: MultilayerPerceptronClassifier(
+    "perceptron": lambda: SparsePerceptron(
         layers=[HASH_FEATURES, 2], blockSize=128, seed=12345, maxIter=400
     ),
 }
