@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import ExitStack, contextmanager
 from dataclasses import replace
 
+import numpy as np
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import (
@@ -18,7 +19,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.linalg import VectorUDT
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from reviewlens.operators.clusters import majority_labels, sparse_wssse
@@ -160,6 +161,67 @@ def mlp_train_eval(frames: Sequence[ModelFrame]) -> DataFrame:
     return train_and_evaluate("perceptron", frames)
 
 
+def _check_folds(rows: DataFrame, folds: int) -> None:
+    """Fail unless the folds are 0 to ``folds`` - 1, each with rows, and none holds all of them."""
+    found = {r["fold"] for r in rows.select("fold").distinct().limit(folds + 1).collect()}
+    if found != set(range(folds)) or folds < 2:
+        raise ValueError(f"rows must be dealt to all of {folds} folds, and to no other")
+
+
+def _at_once(rows: DataFrame, work: Callable, tasks: Sequence[tuple], parallelism: int) -> list:
+    """Results of ``work`` on every task in order, ``parallelism`` at a time."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        runs = [pool.submit(inheritable_thread_target(rows.sparkSession)(work), *t) for t in tasks]
+        try:
+            return [r.result() for r in runs]
+        except BaseException:
+            pool.shutdown(wait=False, cancel_futures=True)
+            raise
+
+
+def _waves(estimator: Estimator, points: Sequence[dict]) -> list[list[int]]:
+    """Places of grid points that differ in ``maxIter`` alone, fewest steps first.
+
+    Only k-means tells how many steps it took; a point of another learner is on its own.
+    """
+    if not isinstance(estimator, KMeans):
+        return [[i] for i in range(len(points))]
+    steps = [point.get(estimator.maxIter, estimator.getMaxIter()) for point in points]
+    groups: dict[frozenset, list[int]] = {}
+    for i, point in enumerate(points):
+        rest = frozenset((p.name, v) for p, v in point.items() if p.name != "maxIter")
+        groups.setdefault(rest, []).append(i)
+    return [sorted(g, key=steps.__getitem__) for g in groups.values()]
+
+
+def fold_accuracies(
+    pipeline: Pipeline, points: Sequence[dict], evaluator: MulticlassClassificationEvaluator,
+    rows: DataFrame, folds: int, parallelism: int,
+) -> list[list[float]]:
+    """Accuracy of every grid point (inner lists) on every fold, fitted on the other folds.
+
+    All folds and points share one queue. A fit of k-means that ended before its last
+    allowed step is the fit of every larger ``maxIter`` as well, and is taken for those.
+    """
+    learner = pipeline.getStages()[0]
+    found = [[0.0] * len(points) for _ in range(folds)]
+
+    def run(fold: int, wave: list[int]) -> None:
+        train, held_out = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
+        while wave:
+            first, *wave = wave
+            model = pipeline.fit(train, points[first])
+            found[fold][first] = evaluator.evaluate(model.transform(held_out))
+            allowed = points[first].get(learner.maxIter) if wave else None
+            if allowed is not None and model.stages[0].summary.numIter < allowed:
+                for other in wave:
+                    found[fold][other] = found[fold][first]
+                return
+
+    _at_once(rows, run, [(f, w) for f in range(folds) for w in _waves(learner, points)], parallelism)
+    return found
+
+
 def cross_validate(
     name: str,
     frames: Sequence[ModelFrame],
@@ -171,7 +233,7 @@ def cross_validate(
 
     The folds come from the frame's ``fold`` column, so they are the same in
     every run. K-means is selected on its cluster ids indexed by frequency,
-    while the final metrics use the raw ids.
+    while the final metrics use the raw ids. Of equally good points the first is taken.
     """
     reports = []
     for frame in frames:
@@ -181,20 +243,16 @@ def cross_validate(
         if name == "kmeans":
             prediction = "prediction2"
             stages.append(StringIndexer(inputCol="prediction", outputCol=prediction))
-        search = CrossValidator(
-            estimator=Pipeline(stages=stages),
-            estimatorParamMaps=points,
-            evaluator=MulticlassClassificationEvaluator(
-                predictionCol=prediction, metricName="accuracy"
-            ),
-            numFolds=folds,
-            foldCol="fold",
-            parallelism=parallelism,
-            seed=SEED,
+        pipeline = Pipeline(stages=stages)
+        evaluator = MulticlassClassificationEvaluator(
+            predictionCol=prediction, metricName="accuracy"
         )
         with training_rows(frame) as train:
             check_classes(train)
-            model = search.fit(train).bestModel.stages[0]
+            _check_folds(train, folds)
+            found = fold_accuracies(pipeline, points, evaluator, train, folds, parallelism)
+            best = int(np.argmax(np.mean(found, axis=0)))
+            model = pipeline.fit(train, points[best]).stages[0]
         metrics = classification_metrics(predict(model, frame.test))
         reports.append(report_rows(metrics, name, "cv", frame.dataset))
     return metrics_report(reports)
@@ -217,7 +275,8 @@ def run_named(
 ) -> list[DataFrame]:
     """Results of all jobs in order, some at a time, each in a job group of its name.
 
-    All jobs are run; if any failed, the error names each of them.
+    The last ones are begun first, so long jobs should stand last: they then run beside the
+    others and not after them. All jobs are run; if any failed, the error names each of them.
     """
     spark = frames[0].rows.sparkSession
 
@@ -227,7 +286,8 @@ def run_named(
         return work[name]()
 
     with ThreadPoolExecutor(parallelism) as pool:
-        futures = {name: pool.submit(run, name) for name in work}
+        begun = {name: pool.submit(run, name) for name in reversed(work)}
+    futures = {name: begun[name] for name in work}
     failed = {name: f.exception() for name, f in futures.items() if f.exception() is not None}
     if failed:
         reasons = "; ".join(f"{name}: {error}" for name, error in failed.items())
