@@ -14,7 +14,7 @@ from pyspark.ml.util import (
     DefaultParamsWritable,
     DefaultParamsWriter,
 )
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewlens.functions.text import kept_tokens, normalized, surface_tokens
 from reviewlens.operators.lookup import lookup_join
@@ -34,8 +34,8 @@ def normalize_text(
     """Add ``out``: marks stripped, tokens replaced by lemmas, filtered, lowered.
 
     Without ``lemmas`` (surface, lemma) this is one projection. With them, of any
-    number, every token is joined to its lemma and the row put together again. The
-    rows are numbered and written to the shared folder for that when this is called,
+    number, every token is joined to its lemma, and the lemmas that were found are put in
+    their places in the row; tokens without lemma pass no grouping. The rows are numbered and written to the shared folder for that when this is called,
     so rows that share an id, or have none, stay apart.
     """
     stop = list(stop)
@@ -50,19 +50,39 @@ def normalize_text(
         words.groupBy("surface")
         .agg(F.count("*").alias("_n"))
         .join(lemmas, "surface", "left")
-        .select("surface", F.coalesce("lemma", "surface").alias("_token"), "_n")
+        .select("surface", F.col("lemma").alias("_token"), "_n")
     )
-    pieces = F.array_sort(F.collect_list(F.struct("_pos", "_token")))
-    merged = (
+    changed = (
         lookup_join(words, vocabulary, "surface", "_n")
+        .where(F.col("_token").isNotNull())
         .groupBy(_ROW)
-        .agg(pieces.alias("_pieces"))
-        .select(_ROW, F.col("_pieces._token").alias("_tokens"))
+        .agg(F.collect_list(F.struct("_pos", "_token")).alias("_changed"))
     )
-    joined = F.array_join(kept_tokens(F.col("_tokens"), stop), " ")
-    return (
-        numbered.join(merged, _ROW, "left").withColumn(out, joined).drop(_ROW, "_tokens")
+    tokens = _replaced(surface_tokens(text), F.col("_changed"))
+    joined = F.array_join(kept_tokens(tokens, stop), " ")
+    return numbered.join(changed, _ROW, "left").withColumn(out, joined).drop(_ROW, "_changed")
+
+
+def _replaced(tokens: Column, changed: Column) -> Column:
+    """``tokens`` with those at the places in ``changed`` (_pos, _token) replaced; null changes none.
+
+    Both are sorted together by place, the change first, and the first of a place is kept.
+    """
+    own = F.transform(
+        tokens, lambda t, i: F.struct(i.alias("_pos"), F.lit(1).alias("_own"), t.alias("_token"))
+    )
+    new = F.transform(
+        changed, lambda e: F.struct(e["_pos"].alias("_pos"), F.lit(0).alias("_own"), e["_token"].alias("_token"))
+    )
+    # A one-element transform binds the sorted entries, so they are computed once.
+    merged = F.transform(
+        F.array(F.array_sort(F.concat(own, new))),
+        lambda all_: F.transform(
+            F.filter(all_, lambda e, i: (i == 0) | (F.get(all_, i - 1)["_pos"] != e["_pos"])),
+            lambda e: e["_token"],
+        ),
     )
+    return F.when(changed.isNull(), tokens).otherwise(F.get(merged, F.lit(0)))
 
 
 _LEMMAS = "lemmas"

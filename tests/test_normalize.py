@@ -66,3 +66,21 @@ def test_stage_is_saved_with_its_stop_words(spark, tmp_path):
     loaded = TextNormalizer.load(str(tmp_path / "s"))
     df = texts(spark)
     assert rows(loaded.transform(df)) == rows(normalize_text(df, "t", "n", stop=["run"]))
+
+
+def test_replaced_tokens_stand_at_their_places(spark):
+    """First, last, repeated and neighbouring tokens, in rows longer than a few tokens."""
+    text = "Cars " + "Cars ran word " * 40 + "ran"
+    df = spark.createDataFrame([(1, text), (2, "word " * 50), (3, "Cars")], "k int, t string")
+    got = {r["k"]: r["n"] for r in normalize_text(df, "t", "n", lemmas(spark)).collect()}
+    assert got == {1: "car " + "car run word " * 40 + "run", 2: ("word " * 50).strip(), 3: "car"}
+
+
+def test_tokens_without_lemma_are_not_grouped(spark):
+    """Of 20,000 tokens one has a lemma, so one entry is put together to rows."""
+    df = spark.createDataFrame([(i, "word other " * 10 + ("ran" if i == 7 else "")) for i in range(1000)], "k int, t string")
+    done = normalize_text(df, "t", "n", lemmas(spark))
+    assert done.where("n like '% run'").count() == 1
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    grouped = plan[plan.index("collect_list"):]
+    assert "isnotnull(_token" in grouped or "isnotnull(lemma" in grouped
