@@ -63,7 +63,7 @@ def _chunks(rows: int, classes: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
 
 
 def _slopes(
-    weights: np.ndarray, width: int, classes: int, block: int
+    weights: np.ndarray, width: int, classes: int, block: int, exact: bool = False
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """One row per partition: number of blocks, sum of their mean losses and of their gradients."""
     point = weights[: width * classes].reshape(width, classes)
@@ -85,12 +85,15 @@ def _slopes(
             score = np.stack(
                 [np.bincount(row, x * point[places, k], n) for k in range(classes)], axis=1
             ) + bias
-            odds = np.exp(score - score.max(axis=1, keepdims=True))
-            guess = odds / odds.sum(axis=1, keepdims=True)
+            score -= score.max(axis=1, keepdims=True)
+            odds = np.exp(score)
+            total = odds.sum(axis=1, keepdims=True)
+            guess = odds / total
             target = np.eye(classes)[labels]
-            # A probability of 0 makes the loss NaN, for any class, which the search steps back from.
+            # A probability of 0 makes the loss NaN or infinite, which the search steps back from.
             with np.errstate(divide="ignore", invalid="ignore"):
-                loss += float(-(target * np.log(guess)).sum(axis=1) @ share)
+                logs = score - np.log(total) if exact else np.log(guess)
+                loss += float(-(target * logs).sum(axis=1) @ share)
             delta = (guess - target) * share[:, None]
             for k in range(classes):
                 slope[:, k] += np.bincount(places, x * delta[row, k], width)
@@ -102,17 +105,20 @@ def _slopes(
     return run
 
 
-def _objective(chunks: DataFrame, width: int, classes: int, block: int) -> Callable[[np.ndarray], Point]:
+def _objective(
+    chunks: DataFrame, width: int, classes: int, block: int, exact: bool = False
+) -> Callable[[np.ndarray], Point]:
     """Mean loss over the blocks and its gradient, one Spark job per point.
 
     The driver gets one gradient per partition, never rows. The last point is remembered.
+    With ``exact`` the logarithm of a probability is not taken of its rounded value.
     """
     last: list[tuple[np.ndarray, Point]] = []
 
     def at(weights: np.ndarray) -> Point:
         if last and np.array_equal(last[0][0], weights):
             return last[0][1]
-        parts = chunks.mapInArrow(_slopes(weights, width, classes, block), _PARTIAL_SCHEMA)
+        parts = chunks.mapInArrow(_slopes(weights, width, classes, block, exact), _PARTIAL_SCHEMA)
         blocks, loss, slope = 0, 0.0, np.zeros_like(weights)
         for part in parts.collect():
             blocks += part["blocks"]
@@ -248,6 +254,9 @@ class SparsePerceptron(MultilayerPerceptronClassifier):
     alone, so the rows are kept as sparse chunks. Start weights, blocks, loss, search and
     stopping rules are those of MLlib, and so is the fitted model. With hidden layers, or
     another solver, MLlib fits as it does.
+
+    Where a very long row has a probability that rounds to 0 at the start already, the loss
+    is infinite there and MLlib takes no step; here its exact value is taken then.
     """
 
     def _with_weights(self, spark, weights=None) -> MultilayerPerceptronClassificationModel:
@@ -272,7 +281,10 @@ class SparsePerceptron(MultilayerPerceptronClassifier):
         chunks = rows.mapInArrow(_chunks(size, classes), _CHUNK_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             start = self._with_weights(spark).weights.toArray()
-            found = minimize(_objective(chunks, width, classes, block), start, self.getMaxIter(), self.getTol())
+            objective = _objective(chunks, width, classes, block)
+            if not np.isfinite(objective(start)[0]):
+                objective = _objective(chunks, width, classes, block, exact=True)
+            found = minimize(objective, start, self.getMaxIter(), self.getTol())
         finally:
             chunks.unpersist()
         model = self._with_weights(spark, found)

@@ -66,3 +66,16 @@ def test_labels_out_of_range_are_refused(spark):
     odd = spark.createDataFrame([(0.0, Vectors.dense([1.0])), (2.0, Vectors.dense([0.0]))], ["label", "features"])
     with pytest.raises(Exception, match="labels must be 0 to 1"):
         SparsePerceptron(layers=[1, 2], seed=1).fit(odd)
+
+
+def test_a_row_that_is_very_long_does_not_end_the_fit(spark):
+    """Its loss at the start weights is infinite when probabilities are rounded."""
+    data = [(float(i % 2), Vectors.sparse(4, {i % 2: 1.0})) for i in range(40)]
+    start = learners(layers=[4, 2], maxIter=0)[1].fit(spark.createDataFrame(data, ["label", "features"]))
+    # Weights of the third input for either class: the long row is far on the wrong side.
+    left, right = start.weights.toArray()[4:6]
+    data.append((float(left > right), Vectors.sparse(4, {2: 1000 / abs(left - right)})))
+    rows = spark.createDataFrame(data, ["label", "features"]).coalesce(1).persist()
+    own, mllib = (x.fit(rows) for x in learners(layers=[4, 2]))
+    assert mllib.weights == start.weights
+    assert own.transform(rows).where("label = prediction").count() == len(data)
