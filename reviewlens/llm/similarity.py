@@ -3,11 +3,13 @@
 Sets that reach the similarity share most shingles, hence also some of the rarest ones of
 either: every set keeps only as many of its rarest shingles as no similar set can miss.
 Which are rare is counted over all documents, so a passage that many texts share ties
-nothing together while the rest of a text is its own. Sets that share a kept shingle,
-directly or through others, form a cluster, and no link leaves a cluster. Clusters are cut
-into blocks of sets. Neighbouring blocks meet first; after that a pair of blocks meets only
-if it holds sets of different components and its size ranges allow a link. Where blocks
-meet, signature trees are traversed in pairs and every candidate left is checked on the sets.
+nothing together while the rest of a text is its own. Shingles are counted twice: by cells
+of their hashes, in a table of fixed size, which tells the third or so of a set that is
+dealt out; and these one by one. Sets that share a kept shingle, directly or through
+others, form a cluster, and no link leaves a cluster. Clusters are cut into blocks of sets.
+Neighbouring blocks meet first; after that a pair of blocks meets only if it holds sets of
+different components and its size ranges allow a link. Where blocks meet, signature trees
+are traversed in pairs and every candidate left is checked on the sets.
 
 A set is a set of 64-bit shingle hashes. Equal sets are one class from the start. Two
 sets that are connected already are not compared again: components are whole, but
@@ -30,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from reviewlens.llm.common import map_texts, narrow, unused
+from reviewlens.llm.common import ROWS_AT_ONCE, map_texts, narrow, unused
 from reviewlens.llm.components import components
 from reviewlens.llm.signature_tree import Tree, join_trees
 from reviewlens.operators.indexing import contiguous_index
@@ -43,6 +45,10 @@ REMEMBERED = 300_000
 # Shingles in more sets than this are the most frequent class, whatever their number.
 HOT_ROWS = 4096
 HOT_CLASS = 13
+# Shingles are counted in 2 ** CELL_BITS cells, which tasks give in slots.
+CELL_BITS, SLOT_CELLS = 22, 1 << 16
+# Long numbers of 64 bits in the filter of ids.
+FILTER_WORDS = 1 << 18
 
 _K1 = np.uint64(0x9E3779B97F4A7C15)
 
@@ -62,6 +68,10 @@ class Shingler:
         self.words: dict[bytes, int] = {}
 
     def __call__(self, text: str) -> np.ndarray:
+        return np.unique(self.hashes(text))
+
+    def hashes(self, text: str) -> np.ndarray:
+        """A hash for each place of a shingle."""
         words = text.encode("utf-8", "surrogatepass").lower().split()
         if not words:
             return np.zeros(0, np.uint64)
@@ -80,26 +90,77 @@ class Shingler:
         mixed = np.zeros(size, np.uint64)
         for i in range(self.n):
             mixed = _scramble((mixed + hashes[i : i + size]) * _K1 + np.uint64(i))
-        return np.unique(mixed)
+        return mixed
+
+
+def _cells(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
+def cell_counts(rows: DataFrame, n: int) -> np.ndarray:
+    """How many shingles of all texts fall into each cell of their hashes.
+
+    The counts only order the shingles of a set, so a task may stop at 255 a cell.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, counts = Shingler(n), np.zeros(1 << CELL_BITS, np.int32)
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                for text in batch.column(0).slice(start, ROWS_AT_ONCE).to_pylist():
+                    np.add.at(counts, _cells(shingler.hashes(text)), 1)
+        slots = np.minimum(counts, 255).astype(np.uint8).reshape(-1, SLOT_CELLS)
+        for slot in np.flatnonzero(slots.any(1)).tolist():
+            yield _slot(slot, slots[slot])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for slot, cells in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums.setdefault(slot, np.zeros(SLOT_CELLS, np.uint32))
+                sums[slot] += np.frombuffer(cells.as_buffer(), np.uint8)
+        for slot, total in sums.items():
+            yield _slot(slot, total)
+
+    fields = "slot int, cells binary"
+    counts = np.zeros(1 << CELL_BITS, np.uint32).reshape(-1, SLOT_CELLS)
+    for r in rows.select("text").mapInArrow(count, fields).repartition("slot").mapInArrow(add, fields).collect():
+        counts[r.slot] = np.frombuffer(r.cells, np.uint32)
+    return counts.ravel()
+
+
+def _slot(slot: int, cells: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([slot], pa.int32()), pa.array([cells.tobytes()], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["slot", "cells"])
+
+
+def _shared(sizes, percent: int):
+    """Least number of shingles that a set of a size shares with any similar set."""
+    return -(-percent * sizes // 100)
 
 
 def needed(sizes, percent: int):
     """Least number of `set_keys` that a set of a size shares with any similar set."""
-    shared = -(-percent * sizes // 100)
-    return shared - shared // 3
+    shared = _shared(sizes, percent)
+    return shared - shared * 3 // 4
 
 
-def set_keys(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The first shingles of a set in hash order; similar sets share `needed` of them or more.
+def set_keys(
+    shingles: np.ndarray, percent: int = PERCENT, counts: np.ndarray | None = None
+) -> np.ndarray:
+    """The first shingles of a set by count and hash; similar sets share `needed` of them or more.
 
     A set of s shingles shares at least o = percent * s / 100, rounded up, with a similar
-    one. Leaving the last o / 3 of either out costs as many shared ones at most, and this
-    bound grows with s, so each of two sets may use its own.
+    one. Leaving the last 3 / 4 of o of either out costs as many shared ones at most, and
+    this bound grows with s, so each of two sets may use its own. Any order will do that
+    all sets share, so the counts need not be exact.
     """
     size = len(shingles)
     if 100 * size // percent == size:
         return shingles[:0]  # one shingle more or less is too much
-    return shingles[: size - -(-percent * size // 100) // 3]
+    if counts is not None:
+        shingles = shingles[np.argsort(counts[_cells(shingles)], kind="stable")]
+    return shingles[: size - _shared(size, percent) * 3 // 4]
 
 
 def set_id(shingles: np.ndarray) -> bytes:
@@ -107,10 +168,12 @@ def set_id(shingles: np.ndarray) -> bytes:
 
 
 def described(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, set_id, node, keys) of (doc_id, text) rows.
+    """(doc_id, n_shingles, set_id, node, lead, keys) of (doc_id, text) rows.
 
     A task gives the keys of equal sets once as a rule, so copies do not multiply them.
+    ``lead`` is the smallest shingle.
     """
+    counts = rows.sparkSession.sparkContext.broadcast(cell_counts(rows, n))
 
     def make():
         shingler = Shingler(n)
@@ -122,7 +185,7 @@ def described(rows: DataFrame, n: int, percent: int) -> DataFrame:
             if len(seen) > REMEMBERED:
                 seen.clear()
             seen.add(known)
-            return set_keys(shingles, percent).view(np.int64)
+            return set_keys(shingles, percent, counts.value).view(np.int64)
 
         def each(texts: list[str]):
             sets = [shingler(t) for t in texts]
@@ -130,12 +193,13 @@ def described(rows: DataFrame, n: int, percent: int) -> DataFrame:
             return [
                 [len(s) for s in sets], ids,
                 [int.from_bytes(i[:8], "little", signed=True) if i else None for i in ids],
+                [int(s[:1].view(np.int64)[0]) if len(s) else None for s in sets],
                 [keys(i, s) for i, s in zip(ids, sets)],
             ]
 
         return each
 
-    fields = "n_shingles bigint, set_id binary, node bigint, keys array<bigint>"
+    fields = "n_shingles bigint, set_id binary, node bigint, lead bigint, keys array<bigint>"
     return map_texts(rows, make, fields)
 
 
@@ -274,8 +338,7 @@ def cluster_members(sets: DataFrame, percent: int) -> DataFrame:
     members = (
         sets.join(clusters, "node").where("doc_id is not null").groupBy("root", "set_id")
         .agg(
-            F.min("doc_id").alias("rep"), F.min("n_shingles").alias("size"),
-            F.min(F.get("keys", F.lit(0))).alias("lead"),
+            F.min("doc_id").alias("rep"), F.min("n_shingles").alias("size"), F.min("lead").alias("lead")
         )
     )
     return stage(members, "members")
@@ -332,6 +395,24 @@ def block_pairs(placed: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without most rows that are not in the one column of ``ids``.
+
+    One bit a hash of an id, in a broadcast table of at most FILTER_WORDS rows.
+    """
+
+    def bit(name: str):
+        return F.pmod(F.xxhash64(name), F.lit(64 * FILTER_WORDS))
+
+    at = F.expr("cast(bit & 63 as int)")
+    marks = (
+        ids.select(bit(ids.columns[0]).alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
+    )
+    known = docs.withColumn("bit", bit("doc_id")).withColumn("word", F.shiftright("bit", 6))
+    return known.join(F.broadcast(marks), "word").where(F.getbit("bits", at) == 1).select(*docs.columns)
+
+
 def _compare(docs: DataFrame, meeting: DataFrame, n: int, percent: int) -> DataFrame:
     """(a, b): links between the sets that meet, of different labels, up to connection.
 
@@ -339,7 +420,7 @@ def _compare(docs: DataFrame, meeting: DataFrame, n: int, percent: int) -> DataF
     meet one another too, otherwise only those of the other side.
     """
     # Members grow with the documents, so they are joined by key at every size.
-    texts = docs.join(meeting.hint("merge"), F.col("doc_id") == F.col("rep")).select(
+    texts = _with_ids(docs, meeting.select("rep")).join(meeting.hint("merge"), F.col("doc_id") == F.col("rep")).select(
         "root", "x", "y", "side", "rep", "set_id", "label", "text"
     )
     ordered = texts.repartition("root", "x", "y").sortWithinPartitions("root", "x", "y", "side", "rep")

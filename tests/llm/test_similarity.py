@@ -177,3 +177,60 @@ def test_hot_shared_shingles_are_ranked_alike(spark, monkeypatch):
     roots, _ = brute(texts, 2, 80)
     assert [found[i] for i in range(len(texts))] == roots
     assert len(set(roots)) < len(roots)
+
+
+def test_a_third_of_the_shingles_is_dealt_out(spark):
+    """What is staged and sorted of a set is bounded, whatever is shared."""
+    _, sets = described(spark, corpus(6), 3, 90)
+    large = sets.where("n_shingles > 50 and keys is not null").collect()
+    assert 0 < sum(len(r["keys"]) for r in large) <= 0.34 * sum(r.n_shingles for r in large)
+    assert sets.where("set_id is not null and lead is null").isEmpty()
+
+
+def test_a_passage_of_most_of_a_text_ties_nothing_together(spark):
+    """Of 300 words 264 are common: what is rare in a text is dealt out first."""
+    rnd = random.Random(11)
+    common = " ".join(f"c{i}" for i in range(264))
+    texts = [f"{common} " + " ".join(f"o{rnd.random()}" for _ in range(36)) for _ in range(1000)]
+    _, sets = described(spark, texts, 3, 90)
+    assert similarity.cluster_members(sets, 90).count() < 50
+
+
+def test_counts_order_shingles_alike_in_all_sets():
+    rng = np.random.default_rng(12)
+    counts = rng.integers(0, 5, 1 << similarity.CELL_BITS).astype(np.uint32)
+    for percent in (80, 90):
+        for size in (12, 40, 301):
+            base = np.unique(rng.integers(0, 2**64, size, np.uint64))
+            for _ in range(20):
+                kept = rng.permutation(base)[int(rng.integers(0, size // 10 + 1)) :]
+                other = np.unique(np.concatenate([kept, rng.integers(0, 2**64, 1, np.uint64)]))
+                if not linked(base, other, percent):
+                    continue
+                same = np.intersect1d(*(similarity.set_keys(s, percent, counts) for s in (base, other)))
+                assert len(same) >= max(similarity.needed(len(s), percent) for s in (base, other))
+
+
+def test_cells_are_counted_over_all_texts(spark):
+    texts = ["a b c d", "A b c", None, "", "x"] * 300
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    counts = similarity.cell_counts(similarity.narrow(df, "doc_id", "text"), 3)
+    shingler = similarity.Shingler(3)
+    [first], [alone] = shingler("a b c"), shingler("x")
+    cells = similarity._cells(np.array([first, alone], np.uint64))
+    assert counts.sum() == 300 * 4 and counts[cells[0]] == 600 and counts[cells[1]] == 300
+
+
+def test_few_texts_are_sent_where_few_are_compared(spark, monkeypatch):
+    """A text that no set is compared with is left out before texts are dealt by id."""
+    rnd = random.Random(13)
+    texts = [" ".join(f"o{rnd.random()}" for _ in range(40)) for _ in range(2000)]
+    texts[7] = texts[1500] + " end"
+    df = spark.createDataFrame([*enumerate(texts), (None, texts[3])], "doc_id bigint, text string")
+    sent = []
+    with_ids = similarity._with_ids
+    monkeypatch.setattr(similarity, "_with_ids", lambda *a: sent.append(with_ids(*a)) or sent[-1])
+    found = {r.doc_id: r.component_id for r in similarity.similar_components(df).collect()}
+    assert found[1500] == 7 and found[None] == 3 and len(set(found.values())) == 1999
+    assert len(sent) == 1 and {7, 1500} <= {r.doc_id for r in sent[0].collect()}
+    assert sent[0].count() < 20
