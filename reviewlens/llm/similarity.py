@@ -46,7 +46,7 @@ REMEMBERED = 300_000
 HOT_ROWS = 4096
 HOT_CLASS = 13
 # Shingles are counted in 2 ** CELL_BITS cells, which tasks give in slots.
-CELL_BITS, SLOT_CELLS = 22, 1 << 16
+CELL_BITS, SLOT_CELLS = 20, 1 << 13
 # Long numbers of 64 bits in the filter of ids.
 FILTER_WORDS = 1 << 18
 
