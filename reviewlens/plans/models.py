@@ -23,6 +23,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from reviewlens.operators.clusters import majority_labels, sparse_wssse
+from reviewlens.operators.forest import can_grow, forest_accuracies
 from reviewlens.operators.metrics import classification_metrics, metrics_report
 from reviewlens.operators.perceptron import SparsePerceptron
 from reviewlens.plans.features import FOLDS, ModelFrame, stored_as
@@ -194,6 +195,16 @@ def _waves(estimator: Estimator, points: Sequence[dict]) -> list[list[int]]:
     return [sorted(g, key=steps.__getitem__) for g in groups.values()]
 
 
+def _counts_hits(pipeline: Pipeline, evaluator: MulticlassClassificationEvaluator) -> bool:
+    """Whether the evaluator gives the share of rows that the one learner labels rightly."""
+    first, *others = pipeline.getStages()
+    return (
+        not others and evaluator.getMetricName() == "accuracy" and not evaluator.isDefined(evaluator.weightCol)
+        and evaluator.getLabelCol() == first.getLabelCol()
+        and evaluator.getPredictionCol() == first.getPredictionCol()
+    )
+
+
 def fold_accuracies(
     pipeline: Pipeline, points: Sequence[dict], evaluator: MulticlassClassificationEvaluator,
     rows: DataFrame, folds: int, parallelism: int,
@@ -202,8 +213,11 @@ def fold_accuracies(
 
     All folds and points share one queue. A fit of k-means that ended before its last
     allowed step is the fit of every larger ``maxIter`` as well, and is taken for those.
+    Random forests are grown together, level by level.
     """
     learner = pipeline.getStages()[0]
+    if _counts_hits(pipeline, evaluator) and can_grow(learner, points, rows):
+        return forest_accuracies(learner, points, rows, folds)
     found = [[0.0] * len(points) for _ in range(folds)]
 
     def run(fold: int, wave: list[int]) -> None:
