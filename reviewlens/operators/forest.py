@@ -705,7 +705,9 @@ def _bins(rows: DataFrame, settings: Settings, sizes: Sequence[int]) -> list[Bin
     schema = "feature int, value double, " + ", ".join(f"{n} bigint" for n in counts)
     sampled = rows.mapInArrow(_sampled(settings, sizes), schema)
     summed = sampled.groupBy("feature", "value").agg(*[F.sum(n).alias(n) for n in counts])
-    sorted_ = summed.repartition("feature").sortWithinPartitions("feature", "value")
+    # With a number of partitions Spark does not put this small table into a single task.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ = summed.repartition(tasks, "feature").sortWithinPartitions("feature", "value")
     found = sorted_.mapInArrow(_thresholds(settings, sizes), "fold int, feature int, thresholds binary")
     by = [[np.empty(0)] * settings.width for _ in range(settings.folds)]
     for row in found.collect():
